@@ -9,7 +9,7 @@ from contract import query, table
 from contract.sql import DEFAULT_SETTING, ITEMS, NAMED_PAGES, PACKED, pieces, words
 from paperloom.functions.images import picture_markdown
 from paperloom.operators import chunking as ch
-from paperloom.operators.confidence import low_pages, rollup, text_score
+from paperloom.operators.confidence import document_confidence, low_pages, rollup, text_score
 from paperloom.operators.convert import (
     convert_pages,
     converted,
@@ -56,7 +56,15 @@ def doc_markdown(spark: SparkSession, folder: str) -> DataFrame:
     return export_documents(documents(spark, folder)).select("doc_id", "stem", "md")
 
 
-@query("doc_json")
+@query(
+    "doc_json",
+    f"""WITH {ITEMS}, {NAMED_PAGES}, lists AS (
+      SELECT page_id, list({{'label': label, 'level': level, 'text': text}} ORDER BY item_idx) AS items
+      FROM items GROUP BY page_id)
+    SELECT page_id AS doc_id,
+           to_json({{'doc_id': page_id, 'source': url, 'name': name, 'items': items}})::VARCHAR AS json
+    FROM lists JOIN named USING (page_id)""",
+)
 def doc_json(spark: SparkSession, folder: str) -> DataFrame:
     return export_documents(documents(spark, folder)).select("doc_id", "json")
 
@@ -246,11 +254,10 @@ scores AS (
 means AS (SELECT doc_id, count(*) AS n_pages, avg(score) AS mean_score FROM scores GROUP BY doc_id)"""
 
 
-def _scores(spark: SparkSession, folder: str) -> DataFrame:
-    """Score of every item, standing in for the pages of a document."""
-    return item_rows(documents(spark, folder)).select(
-        "doc_id", F.col("item_idx").alias("page_no"), text_score(F.col("text")).alias("score")
-    )
+def _confidence(spark: SparkSession, folder: str) -> DataFrame:
+    """Confidence from item scores, which stand in for the pages of a document."""
+    scores = F.transform("items", lambda item: text_score(item["text"]))
+    return document_confidence(documents(spark, folder), scores)
 
 
 @query(
@@ -262,17 +269,52 @@ def _scores(spark: SparkSession, folder: str) -> DataFrame:
     FROM means""",
 )
 def confidence_rollup(spark: SparkSession, folder: str) -> DataFrame:
-    return rollup(_scores(spark, folder)).withColumn("mean_score", F.round("mean_score", 6))
+    return _confidence(spark, folder).select(
+        "doc_id", "n_pages", F.round("mean_score", 6).alias("mean_score"), "mean_grade"
+    )
 
 
 @query(
     "low_score_pages",
     f"""WITH {ITEMS}, {_SCORES}
-    SELECT doc_id, (item_idx + 1)::BIGINT AS low_page, round(score, 6) AS low_score
+    SELECT doc_id, (item_idx + 1)::INT AS low_page, round(score, 6) AS low_score
     FROM scores JOIN means USING (doc_id) WHERE round(score, 9) < round(mean_score, 9)
     UNION ALL
     SELECT doc_id, NULL, NULL FROM means m WHERE NOT EXISTS (
       SELECT 1 FROM scores s WHERE s.doc_id = m.doc_id AND round(s.score, 9) < round(m.mean_score, 9))""",
 )
 def low_score_pages(spark: SparkSession, folder: str) -> DataFrame:
-    return low_pages(_scores(spark, folder)).withColumn("low_score", F.round("low_score", 6))
+    low = _confidence(spark, folder).select("doc_id", F.explode_outer("low_pages").alias("low"))
+    return low.select(
+        "doc_id", F.col("low.page").alias("low_page"), F.round("low.score", 6).alias("low_score")
+    )
+
+
+def _event_scores(spark: SparkSession, folder: str) -> DataFrame:
+    """A table of scores with one row per event; users stand in for documents."""
+    return table(spark, folder, "events").select(
+        F.col("user_id").alias("doc_id"), F.col("event_id").alias("page_no"), F.col("value").alias("score")
+    )
+
+
+@query(
+    "confidence_rollup_table",
+    """SELECT user_id AS doc_id, count(value) AS n_pages, round(avg(value), 6) AS mean_score,
+              CASE WHEN avg(value) < 0.5 THEN 'poor' WHEN avg(value) < 0.8 THEN 'fair'
+                   WHEN avg(value) < 0.9 THEN 'good' ELSE 'excellent' END AS mean_grade
+       FROM events GROUP BY user_id""",
+)
+def confidence_rollup_table(spark: SparkSession, folder: str) -> DataFrame:
+    return rollup(_event_scores(spark, folder)).withColumn("mean_score", F.round("mean_score", 6))
+
+
+@query(
+    "low_score_table",
+    """WITH means AS (
+         SELECT user_id, round(avg(value), 9) AS mean_score, round(min(value), 9) AS least FROM events GROUP BY user_id)
+       SELECT user_id AS doc_id, event_id + 1 AS low_page, round(value, 6) AS low_score
+       FROM events JOIN means USING (user_id) WHERE round(value, 9) < mean_score
+       UNION ALL SELECT user_id, NULL, NULL FROM means WHERE least >= mean_score""",
+)
+def low_score_table(spark: SparkSession, folder: str) -> DataFrame:
+    return low_pages(_event_scores(spark, folder)).withColumn("low_score", F.round("low_score", 6))

@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 from contract import query, table
 from contract.similarity import centroids
 from contract.sql import CENTROIDS, DEFAULT_SETTING, ITEMS, NAMED_PAGES, PACKED, hashed, pieces
+from paperloom.constants import HASH_DIM
 from paperloom.functions.text import hit_preview, hit_source
 from paperloom.operators.embedding import embed
 from paperloom.operators.search import build_cells, cell_search, topk_search
-from paperloom.plans.retrieval import page_vectors, semantic_search
+from paperloom.plans.retrieval import chunk_key, page_vectors, semantic_search
 from paperloom.session import scratch_path
+from paperloom.sources.stores import collection_rows, read_collection, write_collection
 
 _TOPK = f"""
     WITH {CENTROIDS}, corpus AS (
@@ -80,7 +82,8 @@ def _cells(spark: SparkSession, folder: str, probes: int) -> DataFrame:
     vectors = table(spark, folder, "embeddings")
     index = build_cells(vectors, cells=16)
     path = scratch_path(spark, "cells")
-    index.assign(vectors, "vec_id").write.partitionBy("cell").parquet(path)
+    stored = index.assign(vectors, "vec_id").hint("rebalance", "cell")
+    stored.write.partitionBy("cell").parquet(path)
     return cell_search(
         spark.read.parquet(path), index, centroids(spark, folder), 5, probes, "vec_id", query_key="label"
     )
@@ -101,8 +104,12 @@ _HITS = f"""
 
 
 def hits(spark: SparkSession, folder: str) -> DataFrame:
-    chunks = page_vectors(table(spark, folder, "pages"))
-    return semantic_search(chunks, table(spark, folder, "benchmark"), k=3, query_key="item_id")
+    """Benchmark texts searched in a stored collection of page chunks."""
+    path = scratch_path(spark, "collection")
+    rows = collection_rows(page_vectors(table(spark, folder, "pages")), chunk_key())
+    write_collection(rows, path, HASH_DIM)
+    found = read_collection(spark, path)
+    return semantic_search(found, table(spark, folder, "benchmark"), k=3, query_key="item_id")
 
 
 @query(
@@ -113,7 +120,7 @@ def hits(spark: SparkSession, folder: str) -> DataFrame:
     FROM hits JOIN keyed k USING (key) JOIN named USING (page_id)""",
 )
 def semantic_search_query(spark: SparkSession, folder: str) -> DataFrame:
-    return hits(spark, folder).drop("key")
+    return hits(spark, folder).drop("id")
 
 
 @query(

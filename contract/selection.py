@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from contract import query, table
 from contract.similarity import FOLDS, folded
-from contract.sql import folds
+from contract.sql import folds, greedy
 from paperloom.operators import selection as se
 from paperloom.operators.folds import assign_folds
 from paperloom.session import scratch_path
@@ -77,44 +77,11 @@ def fold_budgets(spark: SparkSession, folder: str) -> DataFrame:
     return se.fold_budgets(per_fold, SIZES).select("fold", "size_spec", "budget")
 
 
-_BUDGETS = """
-    greatest(ceil(0.1::DOUBLE * fold_size), ceil(0.25::DOUBLE * fold_size),
-             ceil(20::DOUBLE * (fold_size::DOUBLE / total::DOUBLE)))::BIGINT"""
-
 _PICKS = f"""
     WITH RECURSIVE {folds(FOLDS)}, sims AS (
-      SELECT a.fold, a.vec_id AS i, b.vec_id AS j, round((list_dot_product(a.v, b.v) + 1) / 2, 9) AS s
-      FROM units a JOIN units b USING (fold)),
-    candidates AS (SELECT fold, j, list(s ORDER BY i) AS s FROM sims GROUP BY fold, j),
-    sized AS (
-      SELECT DISTINCT fold, fold_size, total, {_BUDGETS} AS most FROM vectors),
-    greedy AS (
-      SELECT fold, -1 AS pick_no, NULL::BIGINT AS j, NULL::DOUBLE AS gain, []::BIGINT[] AS picked,
-             list_transform(range(fold_size), lambda x: 0.0::DOUBLE) AS cover, most
-      FROM sized
-      UNION ALL
-      SELECT fold, pick_no, j, gain, picked, cover, most FROM (
-        SELECT g.fold, g.pick_no + 1 AS pick_no, c.j, list_append(g.picked, c.j) AS picked, g.most,
-               list_transform(list_zip(c.s, g.cover), lambda p: greatest(p[1], p[2])) AS cover,
-               round(list_sum(list_transform(list_zip(c.s, g.cover),
-                              lambda p: greatest(p[1] - p[2], 0.0))), 6) AS gain,
-               row_number() OVER (PARTITION BY g.fold ORDER BY round(list_sum(list_transform(
-                 list_zip(c.s, g.cover), lambda p: greatest(p[1] - p[2], 0.0))), 6) DESC, c.j) AS place
-        FROM greedy g JOIN candidates c ON c.fold = g.fold
-        WHERE g.pick_no + 1 < g.most AND NOT list_contains(g.picked, c.j))
-      WHERE place = 1),
-    budgets AS (
-      SELECT fold, total, 0 AS size_no, 'percent_0.1' AS size_spec, ceil(0.1::DOUBLE * fold_size)::BIGINT AS budget,
-             floor(0.1::DOUBLE * total)::BIGINT AS keep FROM sized
-      UNION ALL SELECT fold, total, 1, 'percent_0.25', ceil(0.25::DOUBLE * fold_size)::BIGINT,
-             floor(0.25::DOUBLE * total)::BIGINT FROM sized
-      UNION ALL SELECT fold, total, 2, 'samples_20',
-             ceil(20::DOUBLE * (fold_size::DOUBLE / total::DOUBLE))::BIGINT, least(20, total) FROM sized),
-    picks AS (
-      SELECT g.fold, b.size_no, b.size_spec, g.pick_no, g.j AS vec_id, g.gain, b.keep
-      FROM greedy g JOIN budgets b ON b.fold = g.fold AND g.pick_no < b.budget WHERE g.pick_no >= 0),
-    merged AS (
-      SELECT *, row_number() OVER (PARTITION BY size_no ORDER BY gain DESC, fold, pick_no) - 1 AS rank FROM picks)"""
+      SELECT a.dataset, a.fold, a.vec_id AS i, b.vec_id AS j, round((list_dot_product(a.v, b.v) + 1) / 2, 9) AS s
+      FROM units a JOIN units b ON a.dataset = b.dataset AND a.fold = b.fold),
+    {greedy("vec_id", SIZES)}"""
 
 
 def _picks(spark: SparkSession, folder: str, **options) -> DataFrame:

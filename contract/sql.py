@@ -167,29 +167,81 @@ SELECT {key}, string_agg(b || ':' || round(x * 1e6)::BIGINT, ',' ORDER BY b) AS
 FROM {prefix}_vec WHERE x <> 0 GROUP BY {key}"""
 
 
-def folds(number: int) -> str:
-    """Embeddings in folds: (vec_id, label, embedding, fold, fold_size, total)."""
+def fold_table(source: str, key: str, number: int, keep: str) -> str:
+    """Rows of ``source`` in folds per dataset: (dataset, key, keep, fold, fold_size, total)."""
     return f"""
 shuffled AS (
-  SELECT *, row_number() OVER (ORDER BY md5(vec_id || '-42'), vec_id) - 1 AS p, count(*) OVER () AS n,
-         least(count(*) OVER (), {number}) AS k
-  FROM embeddings),
-folded AS (
-  SELECT vec_id, label, embedding,
+  SELECT *, row_number() OVER (PARTITION BY dataset ORDER BY md5({key} || '-42'), {key}) - 1 AS p,
+         count(*) OVER (PARTITION BY dataset) AS n,
+         least(count(*) OVER (PARTITION BY dataset), {number}) AS k
+  FROM {source}),
+numbered AS (
+  SELECT dataset, {key}, {keep}, n AS total,
          (CASE WHEN p < (n % k) * (n // k + 1) THEN p // (n // k + 1)
-               ELSE (n % k) + (p - (n % k) * (n // k + 1)) // (n // k) END)::INT AS fold,
-         n AS total, k
+               ELSE (n % k) + (p - (n % k) * (n // k + 1)) // (n // k) END)::INT AS fold
   FROM shuffled),
+folded AS (SELECT *, count(*) OVER (PARTITION BY dataset, fold) AS fold_size FROM numbered)"""
+
+
+def folds(number: int) -> str:
+    """Embeddings in folds: (vec_id, label, fold, fold_size, total, v), raw and as units."""
+    return f"""
+one_dataset AS (SELECT 'embeddings' AS dataset, * FROM embeddings),
+{fold_table("one_dataset", "vec_id", number, "label, embedding")},
 vectors AS (
-  SELECT vec_id, label, fold, total, list_transform(embedding, lambda x: x::DOUBLE) AS v,
-         count(*) OVER (PARTITION BY fold) AS fold_size
-  FROM folded),
+  SELECT * EXCLUDE (embedding), list_transform(embedding, lambda x: x::DOUBLE) AS v FROM folded),
 units AS (
-  SELECT vec_id, label, fold, total, fold_size,
-         list_transform(v, lambda x: x / greatest(sqrt(list_dot_product(v, v)), 1e-12)) AS v
+  SELECT * REPLACE (list_transform(v, lambda x: x / greatest(sqrt(list_dot_product(v, v)), 1e-12)) AS v)
   FROM vectors)"""
 
 
+def greedy(key: str, sizes: list) -> str:
+    """Greedy picks from ``sims(dataset, fold, i, j, s)`` and ``folded``, merged over folds.
+
+    Gives ``greedy``, ``picks`` (per size) and ``merged`` (with rank and subset size).
+    """
+    budgets, keeps = [], []
+    for size in sizes:
+        if isinstance(size, float):
+            budgets.append(f"greatest(1, ceil({size}::DOUBLE * fold_size))::BIGINT")
+            keeps.append(f"greatest(1, floor({size}::DOUBLE * total))::BIGINT")
+        else:
+            budgets.append(f"greatest(1, ceil({size}::DOUBLE * (fold_size::DOUBLE / total::DOUBLE)))::BIGINT")
+            keeps.append(f"least({size}, total)")
+    names = [f"percent_{s}" if isinstance(s, float) else f"samples_{s}" for s in sizes]
+    per_size = "\n      UNION ALL ".join(
+        f"SELECT dataset, fold, {no} AS size_no, '{name}' AS size_spec, {b} AS budget, {k} AS keep FROM sized"
+        for no, (name, b, k) in enumerate(zip(names, budgets, keeps))
+    )
+    gain = (
+        "round(list_sum(list_transform(list_zip(c.s, g.cover), lambda p: greatest(p[1] - p[2], 0.0))), 6)"
+    )
+    return f"""
+    candidates AS (SELECT dataset, fold, j, list(s ORDER BY i) AS s FROM sims GROUP BY dataset, fold, j),
+    sized AS (SELECT DISTINCT dataset, fold, fold_size, total FROM folded),
+    budgets AS ({per_size}),
+    greedy AS (
+      SELECT dataset, fold, -1 AS pick_no, NULL::BIGINT AS j, NULL::DOUBLE AS gain, []::BIGINT[] AS picked,
+             list_transform(range(fold_size), lambda x: 0.0::DOUBLE) AS cover, greatest({", ".join(budgets)}) AS most
+      FROM sized
+      UNION ALL
+      SELECT dataset, fold, pick_no, j, gain, picked, cover, most FROM (
+        SELECT g.dataset, g.fold, g.pick_no + 1 AS pick_no, c.j, list_append(g.picked, c.j) AS picked, g.most,
+               list_transform(list_zip(c.s, g.cover), lambda p: greatest(p[1], p[2])) AS cover,
+               {gain} AS gain,
+               row_number() OVER (PARTITION BY g.dataset, g.fold ORDER BY {gain} DESC, c.j) AS place
+        FROM greedy g JOIN candidates c ON c.dataset = g.dataset AND c.fold = g.fold
+        WHERE g.pick_no + 1 < g.most AND NOT list_contains(g.picked, c.j))
+      WHERE place = 1),
+    picks AS (
+      SELECT g.dataset, g.fold, b.size_no, b.size_spec, g.pick_no, g.j AS {key}, g.gain, b.keep
+      FROM greedy g JOIN budgets b ON b.dataset = g.dataset AND b.fold = g.fold AND g.pick_no < b.budget
+      WHERE g.pick_no >= 0),
+    merged AS (
+      SELECT *, row_number() OVER (PARTITION BY dataset, size_no ORDER BY gain DESC, fold, pick_no) - 1 AS rank
+      FROM picks)"""
+
+
 # Centroid of every label: (label, v).
 CENTROIDS = """
 cells AS (

@@ -8,11 +8,19 @@ from pyspark.sql import functions as F
 from contract import query, table
 from contract.conversion import documents
 from contract.embedding import vector_text
-from contract.sql import DEFAULT_SETTING, ITEMS, NAMED_PAGES, PACKED, hashed, pieces
+from contract.sql import (
+    DEFAULT_SETTING,
+    ITEMS,
+    NAMED_PAGES,
+    PACKED,
+    fold_table,
+    greedy,
+    hashed,
+    pieces,
+)
 from paperloom.config import SubsetConfig
-from paperloom.constants import HASH_DIM
-from paperloom.operators.chunking import chunk_records
-from paperloom.operators.chunking import chunk_documents
+from paperloom.constants import HASH_DIM, SUBSET_INSTRUCTION
+from paperloom.operators.chunking import chunk_documents, chunk_records
 from paperloom.operators.convert import export_documents, item_rows
 from paperloom.operators.embedding import embed
 from paperloom.plans.retrieval import chunk_key, page_vectors
@@ -199,20 +207,29 @@ def collection_violations_query(spark: SparkSession, folder: str) -> DataFrame:
     return collection_violations(rows, HASH_DIM)
 
 
-def _records(spark: SparkSession, folder: str) -> DataFrame:
-    """Conversations as records with nested messages."""
-    turns = table(spark, folder, "conversations")
-    message = F.struct("turn", "role", F.col("text").alias("content"))
-    return turns.groupBy(F.col("conv_id").alias("row_id")).agg(
-        F.array_sort(F.collect_list(message)).alias("messages")
-    )
+_SUBSET_SIZES = [0.05, 50]
 
 
-@query("subset_end_to_end")
+@query(
+    "subset_end_to_end",
+    f"""
+    WITH RECURSIVE records AS (
+      SELECT lang AS dataset, doc_id, source, '{SUBSET_INSTRUCTION}: ' || text AS text FROM documents),
+    {fold_table("records", "doc_id", 10, "source, text")},
+    {hashed("folded", "doc_id", "text", "d")}, unit AS (
+      SELECT dataset, fold, doc_id, b, x / len AS x FROM d_vec JOIN d_len USING (doc_id) JOIN folded USING (doc_id)),
+    sims AS (
+      SELECT a.dataset, a.fold, a.doc_id AS i, b.doc_id AS j,
+             round((coalesce(sum(a.x * b.x), 0) + 1) / 2, 9) AS s
+      FROM unit a JOIN unit b USING (dataset, fold, b) GROUP BY ALL),
+    {greedy("doc_id", _SUBSET_SIZES)}
+    SELECT merged.dataset, size_spec, rank, doc_id AS row_id, gain, source
+    FROM merged JOIN documents USING (doc_id) WHERE rank < keep""",
+)
 def subset_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
     """Documents rendered, embedded, folded, selected, merged and joined back."""
     docs = table(spark, folder, "documents").select(
         F.col("lang").alias("dataset"), F.col("doc_id").alias("row_id"), "text", "source"
     )
-    config = SubsetConfig(sizes=[0.05, 50], num_folds=10, template="default")
+    config = SubsetConfig(sizes=_SUBSET_SIZES, num_folds=10, template="default")
     return subset_records(docs, config).select("dataset", "size_spec", "rank", "row_id", "gain", "source")

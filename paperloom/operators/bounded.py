@@ -13,7 +13,7 @@ from paperloom.functions.vectors import as_matrix
 def broadcast_if_small(df: DataFrame, weight: Column, limit: int) -> DataFrame:
     """Add a broadcast hint when the summed ``weight`` of the rows is at most ``limit``.
 
-    Give a table that is cheap to read twice, such as a checkpointed one. Beyond the
+    Give a table that is cheap to read twice, such as a stored one. Beyond the
     limit the table comes back as it is and Spark joins by shuffle.
     """
     total = df.agg(F.coalesce(F.sum(weight), F.lit(0)).alias("total")).first()["total"]

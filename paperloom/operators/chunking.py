@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
 
 from paperloom import constants as C
+from paperloom.functions.evaluate import once
 from paperloom.functions.text import preview, token_count, words
 
 _SPAN = pa.struct([("item", pa.int32()), ("start", pa.int32()), ("size", pa.int32())])
@@ -93,7 +94,7 @@ def chunk_documents(
     """
     limit = max_tokens if isinstance(max_tokens, Column) else F.lit(max_tokens)
     merge = merge_peers if isinstance(merge_peers, Column) else F.lit(merge_peers)
-    sized = docs.withColumn("_words", F.transform("items", lambda item: words(item["text"])))
+    sized = docs.withColumn("_words", once(F.transform("items", lambda item: words(item["text"]))))
     levels = F.transform(
         "items", lambda i: F.when(i["label"] == "picture", NOT_TEXT).otherwise(i["level"])
     )
@@ -104,7 +105,9 @@ def chunk_documents(
         "source",
         "name",
         *keep,
-        F.posexplode(F.transform("_layout", _chunk_struct)).alias("chunk_index", "chunk"),
+        once(F.transform("_layout", _chunk_struct)).alias("_chunks"),
+    ).select(
+        "doc_id", "source", "name", *keep, F.posexplode("_chunks").alias("chunk_index", "chunk")
     ).select("doc_id", "source", "name", *keep, F.col("chunk_index").cast("long"), "chunk.*")
 
 

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.functions.html import html_items
+from paperloom.functions.evaluate import once
+from paperloom.functions.html import ITEM_TYPE, html_items
 from paperloom.functions.images import picture_markdown
 from paperloom.functions.text import safe_filename
 
@@ -31,13 +32,13 @@ def convert_pages(
     """
     if on_error not in ("skip", "strict"):
         raise ValueError("on_error must be 'skip' or 'strict'")
-    items = F.coalesce(html_items(F.col(html)), F.array().cast("array<struct<label:string,level:int,text:string>>"))
+    items = F.coalesce(html_items(F.col(html)), F.array().cast(ITEM_TYPE))
     docs = pages.select(
         F.col(doc_id).alias("doc_id"),
         F.col(source).alias("source"),
         safe_filename(F.col(source)).alias("name"),
         F.col(html).isNull().alias("_missing"),
-        items.alias("items"),
+        once(items).alias("items"),
     )
     status = (
         F.when(F.col("_missing"), MISSING).when(F.size("items") == 0, EMPTY).otherwise(CONVERTED)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from paperloom import constants as C
 from paperloom.operators.bounded import broadcast_if_small
 from paperloom.operators.ordering import shuffle_hash
-from paperloom.session import checkpointed
+from paperloom.session import materialized
 
 _BUCKET_DIGITS = 3
 _MAX_FRAME = 500_000
@@ -90,7 +90,7 @@ def assign_folds(
         .groupBy(*groups, "_bucket")
         .agg(F.collect_list(F.struct("_digest", key)).alias("_cuts"))
     )
-    frame = checkpointed(
+    frame = materialized(
         buckets.join(starts, [*groups, "_bucket"], "left")
         .withColumn(
             "_earlier_folds",

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from paperloom.session import checkpointed
+from paperloom.session import materialized
 
 
 def shuffle_hash(key: str, seed: int) -> Column:
@@ -21,14 +21,14 @@ def range_positions(
     """Number the rows of every group from 0 in the given order, which must be total.
 
     Rows are split by value range over ``groups`` and ``order`` together, so a group
-    of any size is spread over tasks. The split is sampled, hence it is checkpointed
+    of any size is spread over tasks. The split is sampled, hence it is stored
     before it is used twice: for the row counts per range (one small row each) and
     for the positions inside the ranges.
     """
     ranged = df.repartitionByRange(*[F.col(g) for g in groups], *order).withColumn(
         "_range", F.spark_partition_id()
     )
-    stable = checkpointed(ranged)
+    stable = materialized(ranged)
     counts = stable.groupBy(*groups, "_range").agg(F.count("*").alias("_rows"))
     earlier = Window.partitionBy(*groups).orderBy("_range").rowsBetween(
         Window.unboundedPreceding, -1

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperloom.config import ChunkConfig
+from paperloom.functions.text import safe_filename
 from paperloom.operators.chunking import chunk_documents, chunk_records
 from paperloom.operators.convert import convert_pages, converted
 from paperloom.operators.embedding import Encoder, embed
@@ -31,21 +32,29 @@ def page_vectors(
 
 
 def semantic_search(
-    chunks: DataFrame,
+    collection: DataFrame,
     queries: DataFrame,
     encoder: Encoder | None = None,
     k: int = 5,
     query_key: str = "query_id",
     query_text: str = "text",
 ) -> DataFrame:
-    """Hits of text queries: ``chunk_id, text, source, chunk_index, similarity_score``."""
+    """Hits of text queries in a stored collection.
+
+    The search reads ids and vectors only; texts are read for the hits' sake in a
+    second scan. Columns: the query, ``rank, id, chunk_id, text, source, chunk_index,
+    similarity_score``.
+    """
     asked = embed(queries.select(query_key, query_text), query_text, encoder)
-    hits = topk_search(chunks, asked, k, key="key", query_key=query_key)
-    return with_hit_fields(hits, chunks, "key", "chunk_id", "text", "source", "chunk_index").select(
+    hits = topk_search(collection, asked, k, key="id", query_key=query_key)
+    chunk_id = F.concat(
+        safe_filename(F.col("source")), F.lit("_chunk_"), F.col("chunk_index").cast("string")
+    )
+    return with_hit_fields(hits, collection, "id", "text", "source", "chunk_index").select(
         query_key,
         "rank",
-        "key",
-        "chunk_id",
+        "id",
+        chunk_id.alias("chunk_id"),
         "text",
         "source",
         "chunk_index",

@@ -32,7 +32,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so that lost executors cannot change it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialized(df: DataFrame, label: str = "table") -> DataFrame:
+    """``df`` written to the shared folder and read back.
+
+    The rows are computed once, a lost executor cannot change them, and later readers
+    get only the columns they ask for.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
