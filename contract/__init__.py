@@ -8,6 +8,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 import paperloom
+from paperloom.sources.datasets import spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +36,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, folder: str, name: str, key: str) -> DataFrame:
+    """A table for work that is heavy per row; small single-file inputs use all cores."""
+    return spread(table(spark, folder, name), key)
+
+
 def load_all() -> None:
     from contract import (  # noqa: F401
         conversion,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contract import query, table
+from contract import query, spread_table, table
 from contract.sql import DEFAULT_SETTING, ITEMS, NAMED_PAGES, PACKED, pieces, words
 from paperloom.functions.images import picture_markdown
 from paperloom.operators import chunking as ch
@@ -27,7 +27,7 @@ _CHUNK_COLUMNS = "page_id AS doc_id, chunk_index, text, coalesce(heading, '') AS
 
 
 def documents(spark: SparkSession, folder: str) -> DataFrame:
-    return converted(convert_pages(table(spark, folder, "pages")))
+    return converted(convert_pages(spread_table(spark, folder, "pages", "page_id")))
 
 
 @query("html_items", f"WITH {ITEMS} SELECT page_id AS doc_id, item_idx, label, level, text FROM items")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contract import query, table
+from contract import query, spread_table, table
 from contract.conversion import documents
 from contract.sql import DEFAULT_SETTING, ITEMS, PACKED, hashed, pieces, sparse_text
 from paperloom.functions.vectors import l2_normalize
@@ -37,7 +37,7 @@ def vector_text(vector: Column) -> Column:
 
 @query("hash_embed", _DOCUMENT_VECTORS)
 def hash_embed(spark: SparkSession, folder: str) -> DataFrame:
-    vectors = embed(table(spark, folder, "documents").select("doc_id", "text"))
+    vectors = embed(spread_table(spark, folder, "documents", "doc_id").select("doc_id", "text"))
     return vectors.select("doc_id", vector_text(F.col("embedding")).alias("vector"))
 
 
@@ -58,7 +58,8 @@ def chunk_embeddings(spark: SparkSession, folder: str) -> DataFrame:
 @query("embed_incremental", _DOCUMENT_VECTORS)
 def embed_incremental(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled documents are embedded first, then whatever the store lacks."""
-    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    docs = spread_table(spark, folder, "documents", "doc_id")
+    labels = table(spark, folder, "labels")
     path = scratch_path(spark, "vectors")
     first = content_key(docs.join(labels.select("doc_id"), "doc_id", "left_semi"), "doc_id", "text", "hash")
     append_vectors(embed_missing(first, None), path)

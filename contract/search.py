@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contract import query, table
+from contract import query, spread_table, table
 from contract.similarity import centroids
 from contract.sql import CENTROIDS, DEFAULT_SETTING, ITEMS, NAMED_PAGES, PACKED, hashed, pieces
 from paperloom.constants import HASH_DIM
@@ -62,7 +62,7 @@ def vector_topk_blocks(spark: SparkSession, folder: str) -> DataFrame:
 )
 def vector_topk_batch(spark: SparkSession, folder: str) -> DataFrame:
     """The best document for every benchmark text."""
-    docs = embed(table(spark, folder, "documents").select("doc_id", "text"))
+    docs = embed(spread_table(spark, folder, "documents", "doc_id").select("doc_id", "text"))
     asked = embed(table(spark, folder, "benchmark"))
     return topk_search(docs, asked, 1, "doc_id", query_key="item_id")
 
@@ -106,7 +106,7 @@ _HITS = f"""
 def hits(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark texts searched in a stored collection of page chunks."""
     path = scratch_path(spark, "collection")
-    rows = collection_rows(page_vectors(table(spark, folder, "pages")), chunk_key())
+    rows = collection_rows(page_vectors(spread_table(spark, folder, "pages", "page_id")), chunk_key())
     write_collection(rows, path, HASH_DIM)
     found = read_collection(spark, path)
     return semantic_search(found, table(spark, folder, "benchmark"), k=3, query_key="item_id")

@@ -36,24 +36,17 @@ named AS (
 
 
 def _chain() -> str:
-    blocks = "h[1-6]|p|li|tr|pre"
     item, name = "chr(30)", "chr(31)"
-    text = f"translate(html, {item} || {name}, '')"
-    for pattern in (
-        r"(?is)<!--.*?-->",
-        r"(?is)<script\b.*?</script\s*>",
-        r"(?is)<style\b.*?</style\s*>",
-        r"(?is)<nav\b.*?</nav\s*>",
-        r"(?is)<footer\b.*?</footer\s*>",
-        r'(?is)<div class="ad">.*?</div\s*>',
-        r"(?is)<head\b.*?</head\s*>",
-    ):
-        text = f"regexp_replace({text}, '{pattern}', '', 'g')"
+    text = f"replace(replace(html, {item}, ''), {name}, '')"
     for pattern, new in (
+        (
+            r"(?is)<(?:!--.*?--|script\b.*?</script\s*|style\b.*?</style\s*|nav\b.*?</nav\s*"
+            r'|footer\b.*?</footer\s*|head\b.*?</head\s*|div class="ad">.*?</div\s*)>',
+            "''",
+        ),
         (r'(?i)<img\b[^>]*?\bsrc="([^"]*)"[^>]*>', f"{item} || 'img' || {name} || '\\1' || {item} || {name}"),
         (r"(?i)<t[dh]\b[^>]*>", "' | '"),
-        (rf"(?i)<({blocks})\b[^>]*>", f"{item} || '\\1' || {name}"),
-        (rf"(?i)</({blocks})\s*>", f"{item} || {name}"),
+        (r"(?i)<(/?(?:h[1-6]|p|li|tr|pre))\b[^>]*>", f"{item} || '\\1' || {name}"),
         (r"<[^>]*>", "' '"),
     ):
         text = f"regexp_replace({text}, '{pattern}', {new}, 'g')"
@@ -144,13 +137,25 @@ DEFAULT_SETTING = "('default', 1024, true)"
 
 
 def hashed(source: str, key: str, text: str, prefix: str) -> str:
-    """Sparse hashing vectors as CTEs: ``{prefix}_vec(key, b, x)`` and ``{prefix}_len(key, len)``."""
+    """Sparse hashing vectors as CTEs: ``{prefix}_vec(key, b, x)`` and ``{prefix}_len(key, len)``.
+
+    The word hash is CRC-32, spelled out over the bytes of each distinct word.
+    """
     return f"""
-{prefix}_codes AS (
-  SELECT {key}, ('0x' || substr(md5(w), 1, 5))::BIGINT AS code
-  FROM (SELECT {key}, unnest({words(text)}) AS w FROM {source})),
+{prefix}_words AS (SELECT {key}, unnest({words(text)}) AS w FROM {source}),
+{prefix}_table AS (
+  SELECT list(list_reduce(list_prepend(n, range(8)),
+         lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY n) AS t
+  FROM range(256) AS r(n)),
+{prefix}_hashes AS (
+  SELECT w, xor(4294967295, list_reduce(
+    list_prepend(4294967295, list_transform(range(octet_length(encode(w))),
+      lambda i: ('0x' || substr(hex(encode(w)), (2 * i + 1)::INT, 2))::BIGINT)),
+    lambda c, byte: xor(t[(xor(c, byte) & 255) + 1], c >> 8))) AS code
+  FROM (SELECT DISTINCT w FROM {prefix}_words), {prefix}_table),
+{prefix}_codes AS (SELECT {key}, code FROM {prefix}_words JOIN {prefix}_hashes USING (w)),
 {prefix}_sums AS (
-  SELECT {key}, code % {HASH_DIM} AS b, sum(CASE WHEN code >= 524288 THEN -1 ELSE 1 END) AS v
+  SELECT {key}, code % {HASH_DIM} AS b, sum(CASE WHEN code >= 2147483648 THEN -1 ELSE 1 END) AS v
   FROM {prefix}_codes GROUP BY ALL),
 {prefix}_raw AS (
   SELECT {key}, greatest(sqrt(sum(v * v)), 1e-12) AS length FROM {prefix}_sums GROUP BY {key}),

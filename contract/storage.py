@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contract import query, table
+from contract import query, spread_table, table
 from contract.conversion import documents
 from contract.embedding import vector_text
 from contract.sql import (
@@ -189,7 +189,7 @@ def chunk_dump(spark: SparkSession, folder: str) -> DataFrame:
 )
 def vector_collection(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_path(spark, "collection")
-    rows = collection_rows(page_vectors(table(spark, folder, "pages")), chunk_key())
+    rows = collection_rows(page_vectors(spread_table(spark, folder, "pages", "page_id")), chunk_key())
     write_collection(rows, path, HASH_DIM)
     return read_collection(spark, path).select(
         "id", "text", "source", "chunk_index", vector_text(F.col("embedding")).alias("vector")
@@ -203,7 +203,7 @@ def vector_collection(spark: SparkSession, folder: str) -> DataFrame:
 )
 def collection_violations_query(spark: SparkSession, folder: str) -> DataFrame:
     """Under the display ids, which follow file names, some ids repeat."""
-    rows = collection_rows(page_vectors(table(spark, folder, "pages")))
+    rows = collection_rows(page_vectors(spread_table(spark, folder, "pages", "page_id")))
     return collection_violations(rows, HASH_DIM)
 
 
@@ -228,7 +228,7 @@ _SUBSET_SIZES = [0.05, 50]
 )
 def subset_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
     """Documents rendered, embedded, folded, selected, merged and joined back."""
-    docs = table(spark, folder, "documents").select(
+    docs = spread_table(spark, folder, "documents", "doc_id").select(
         F.col("lang").alias("dataset"), F.col("doc_id").alias("row_id"), "text", "source"
     )
     config = SubsetConfig(sizes=_SUBSET_SIZES, num_folds=10, template="default")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from contract import query, table
+from contract import query, spread_table, table
 from contract.sql import NAMED_PAGES, SPACES, words
 from paperloom.constants import SUBSET_INSTRUCTION
 from paperloom.functions.templates import render, render_turns
@@ -29,7 +29,7 @@ from paperloom.sources.manifest import names_from_lists, with_location
     SELECT doc_id, (generate_subscripts(names, 1) - 1)::INT AS pos, unnest(names) AS name FROM lists""",
 )
 def manifest_from_list(spark: SparkSession, folder: str) -> DataFrame:
-    return names_from_lists(table(spark, folder, "documents"), "text", "doc_id", on_empty="skip")
+    return names_from_lists(spread_table(spark, folder, "documents", "doc_id"), "text", "doc_id", on_empty="skip")
 
 
 @query(
@@ -151,7 +151,8 @@ def instruction_prefix(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("token_count", f"SELECT doc_id, len({words('text')})::INT AS n_tokens FROM documents")
 def token_count_query(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "documents").select("doc_id", token_count(F.col("text")).alias("n_tokens"))
+    docs = spread_table(spark, folder, "documents", "doc_id")
+    return docs.select("doc_id", token_count(F.col("text")).alias("n_tokens"))
 
 
 _SPLITS = """

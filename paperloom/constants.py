@@ -6,11 +6,11 @@ UNHELPFUL_NAMES = ("view", "download", "file", "index", "blob", "raw")
 MIN_NAME_CHARS = 3
 NAME_DIGEST_CHARS = 10
 
-# Characters Python's str.split() and str.strip() treat as white space, as a
-# regular-expression class that Java and RE2 read the same way.
-SPACE_CLASS = (
-    r"[\t\n\x{0b}\x{0c}\r\x{1c}-\x{1f} \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# Characters Python's str.split() and str.strip() treat as white space.
+SPACES = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )
 
 DEFAULT_INSTRUCTION = "Retrieve relevant passages:"
@@ -44,6 +44,9 @@ SIMILARITY_SCALINGS = ("min-max", "additive")
 CONFIDENCE_GRADES = ("poor", "fair", "good", "excellent", "unspecified")
 # --- end of fixed values ----------------------------------------------------
 
+# The white space as a regular-expression class that Java and RE2 read the same way.
+SPACE_CLASS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in SPACES) + "]"
+
 # Own choices: sizes that bound what one task or the driver may hold.
 MAX_FOLD_ROWS = 4096
 MAX_BROADCAST_QUERIES = 10_000

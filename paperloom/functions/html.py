@@ -14,16 +14,14 @@ ITEM_TYPE = "array<struct<label:string,level:int,text:string>>"
 # Control characters that mark where an item starts and where its tag name ends.
 _ITEM, _NAME = "\x1e", "\x1f"
 
+# One pass from the left: whatever starts first hides what is inside it.
 _BOILERPLATE = (
-    r"(?is)<!--.*?-->",
-    r"(?is)<script\b.*?</script\s*>",
-    r"(?is)<style\b.*?</style\s*>",
-    r"(?is)<nav\b.*?</nav\s*>",
-    r"(?is)<footer\b.*?</footer\s*>",
-    r'(?is)<div class="ad">.*?</div\s*>',
-    r"(?is)<head\b.*?</head\s*>",
+    r"(?is)<(?:!--.*?--|script\b.*?</script\s*|style\b.*?</style\s*|nav\b.*?</nav\s*"
+    r'|footer\b.*?</footer\s*|head\b.*?</head\s*|div class="ad">.*?</div\s*)>'
 )
-_BLOCKS = "h[1-6]|p|li|tr|pre"
+_BLOCK = r"(?i)<(/?(?:h[1-6]|p|li|tr|pre))\b[^>]*>"
+_CELL = r"(?i)<t[dh]\b[^>]*>"
+_IMAGE = r'(?i)<img\b[^>]*?\bsrc="([^"]*)"[^>]*>'
 _SPACES = r"[ \t\n\r\x{0b}\x{0c}\x{85}\x{a0}]+"
 # The ampersand comes last, so that an escaped entity is decoded once.
 _ENTITIES = (
@@ -37,17 +35,16 @@ _ENTITIES = (
 
 
 def marked_text(html: Column) -> Column:
-    """Page text with one mark per item and no other markup."""
-    text = F.translate(html, _ITEM + _NAME, "")
-    for pattern in _BOILERPLATE:
-        text = F.regexp_replace(text, pattern, "")
-    text = F.regexp_replace(
-        text, r'(?i)<img\b[^>]*?\bsrc="([^"]*)"[^>]*>', f"{_ITEM}img{_NAME}$1{_ITEM}{_NAME}"
-    )
-    text = F.regexp_replace(text, r"(?i)<t[dh]\b[^>]*>", " | ")
-    text = F.regexp_replace(text, rf"(?i)<({_BLOCKS})\b[^>]*>", f"{_ITEM}$1{_NAME}")
-    text = F.regexp_replace(text, rf"(?i)</({_BLOCKS})\s*>", _ITEM + _NAME)
-    text = F.regexp_replace(text, r"<[^>]*>", " ")
+    """Page text with a mark and a tag name before every item and no other markup.
+
+    What follows the end of a block is an item too, named by the closing tag.
+    """
+    text = F.replace(F.replace(html, F.lit(_ITEM), F.lit("")), F.lit(_NAME), F.lit(""))
+    text = F.regexp_replace(text, _BOILERPLATE, "")
+    text = F.regexp_replace(text, _IMAGE, f"{_ITEM}img{_NAME}$1{_ITEM}{_NAME}")
+    text = F.regexp_replace(text, _CELL, " | ")
+    text = F.regexp_replace(text, _BLOCK, f"{_ITEM}$1{_NAME}")
+    text = F.regexp_replace(text, "<[^>]*>", " ")
     text = F.replace(text, F.lit("&nbsp;"), F.lit(" "))
     text = F.regexp_replace(text, _SPACES, " ")
     for entity, char in _ENTITIES:
@@ -55,28 +52,35 @@ def marked_text(html: Column) -> Column:
     return F.concat(F.lit(_ITEM + _NAME), text)
 
 
-def _item(segment: Column) -> Column:
-    tag = F.lower(F.substring_index(segment, _NAME, 1))
-    text = F.trim(F.substring_index(segment, _NAME, -1))
+def _tagged(segment: Column) -> Column:
+    return F.struct(
+        F.lower(F.substring_index(segment, _NAME, 1)).alias("tag"),
+        F.trim(F.substring_index(segment, _NAME, -1)).alias("text"),
+    )
+
+
+def _item(found: Column) -> Column:
+    tag, text = found["tag"], found["text"]
     heading = tag.rlike("^h[1-6]$")
-    level = F.when(heading, F.substring(tag, 2, 1).try_cast("int")).otherwise(F.lit(0))
     label = (
         F.when(tag == "h1", "title")
-        .when(heading, "section_header")
         .when(tag == "li", "list_item")
         .when(tag == "tr", "table_row")
         .when(tag == "pre", "code")
         .when(tag == "img", "picture")
+        .when(heading, "section_header")
         .otherwise("text")
     )
+    level = F.when(heading, F.substring(tag, 2, 1).try_cast("int")).otherwise(F.lit(0))
+    row = F.regexp_replace(text, r"^\| ", "")
     return F.struct(
         label.alias("label"),
         level.alias("level"),
-        F.when(tag == "tr", F.regexp_replace(text, r"^\| ", "")).otherwise(text).alias("text"),
+        F.when(tag == "tr", row).otherwise(text).alias("text"),
     )
 
 
 def html_items(html: Column) -> Column:
     """Items of a page in reading order; items without text are dropped."""
-    segments = F.filter(F.split(marked_text(html), _ITEM), lambda s: s != "")
-    return F.filter(F.transform(segments, _item), lambda item: item["text"] != "")
+    segments = F.transform(F.array_remove(F.split(marked_text(html), _ITEM), ""), _tagged)
+    return F.transform(F.filter(segments, lambda found: found["text"] != ""), _item)

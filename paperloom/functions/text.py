@@ -12,7 +12,8 @@ _BLANKS = f"{C.SPACE_CLASS}+"
 
 def words(text: Column) -> Column:
     """White-space separated words, as Python's ``str.split()`` gives them."""
-    return F.filter(F.split(text, _BLANKS), lambda word: word != "")
+    plain = F.translate(text, C.SPACES, " " * len(C.SPACES))
+    return F.array_remove(F.split(plain, " "), "")
 
 
 def token_count(text: Column) -> Column:

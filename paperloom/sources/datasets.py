@@ -84,6 +84,16 @@ def concat_datasets(parts: Sequence[DataFrame]) -> DataFrame:
     return result
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread an input with fewer splits than the cluster has cores.
+
+    A small file is often a single row group and then a single task. A larger input
+    is returned as it is: its own splits occupy every core, and nothing is shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def write_dataset(df: DataFrame, path: str, extension: str, mode: str = "errorifexists") -> None:
     """Write in the format of an input: JSON as lines, CSV with header, or Parquet."""
     kind = file_format(f".{extension}")
