@@ -219,7 +219,7 @@ def _study(spark: SparkSession, folder: str) -> DataFrame:
     FROM chunks GROUP BY ALL""",
 )
 def chunk_stats(spark: SparkSession, folder: str) -> DataFrame:
-    stats = ch.chunk_statistics(_study(spark, folder), "doc_id", "setting")
+    stats = ch.chunk_statistics(_study(spark, folder), "setting")
     return stats.withColumn("mean_tokens", F.round("mean_tokens", 6))
 
 
@@ -242,8 +242,7 @@ def chunk_samples(spark: SparkSession, folder: str) -> DataFrame:
            count(*) AS n_chunks, sum(tokens)::BIGINT AS n_tokens FROM chunks""",
 )
 def corpus_totals(spark: SparkSession, folder: str) -> DataFrame:
-    docs = documents(spark, folder)
-    return ch.corpus_totals(ch.chunk_documents(docs), docs)
+    return ch.corpus_totals(ch.pack_documents(documents(spark, folder)))
 
 
 _SCORES = r"""

@@ -81,13 +81,13 @@ def _chunk_struct(layout: Column) -> Column:
     )
 
 
-def chunk_documents(
+def pack_documents(
     docs: DataFrame,
     max_tokens: int | Column = C.CHUNK_TOKENS,
     merge_peers: bool | Column = True,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One row per chunk: ``doc_id, source, name, chunk_index`` and the chunk's content.
+    """Documents with their chunks as an array: ``doc_id, source, name, chunks``.
 
     An item over the limit is split; with ``merge_peers`` neighbours under the same
     headings are joined while they fit. Both settings may be columns.
@@ -105,10 +105,24 @@ def chunk_documents(
         "source",
         "name",
         *keep,
-        once(F.transform("_layout", _chunk_struct)).alias("_chunks"),
-    ).select(
-        "doc_id", "source", "name", *keep, F.posexplode("_chunks").alias("chunk_index", "chunk")
-    ).select("doc_id", "source", "name", *keep, F.col("chunk_index").cast("long"), "chunk.*")
+        once(F.transform("_layout", _chunk_struct)).alias("chunks"),
+    )
+
+
+def chunk_documents(
+    docs: DataFrame,
+    max_tokens: int | Column = C.CHUNK_TOKENS,
+    merge_peers: bool | Column = True,
+    keep: tuple[str, ...] = (),
+) -> DataFrame:
+    """One row per chunk: ``doc_id, source, name, chunk_index`` and the chunk's content."""
+    packed = pack_documents(docs, max_tokens, merge_peers, keep)
+    rows = packed.select(
+        "doc_id", "source", "name", *keep, F.posexplode("chunks").alias("chunk_index", "chunk")
+    )
+    return rows.select(
+        "doc_id", "source", "name", *keep, F.col("chunk_index").cast("long"), "chunk.*"
+    )
 
 
 def structural_chunks(docs: DataFrame) -> DataFrame:
@@ -140,16 +154,25 @@ def chunk_records(chunks: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def chunk_statistics(chunks: DataFrame, *by: str) -> DataFrame:
-    """Number of chunks and mean size of their contextualized text, per group."""
-    tokens = F.col("n_heading_tokens") + F.col("n_tokens")
-    return chunks.groupBy(*by).agg(
-        F.count("*").alias("n_chunks"), F.avg(tokens).alias("mean_tokens")
+def _context_tokens(chunk: Column) -> Column:
+    return chunk["n_heading_tokens"] + chunk["n_tokens"]
+
+
+def chunk_statistics(packed: DataFrame, *keep: str) -> DataFrame:
+    """Chunks of every document and their mean contextualized size; NULL without chunks."""
+    total = F.aggregate(
+        "chunks", F.lit(0).cast("long"), lambda n, chunk: n + _context_tokens(chunk).cast("long")
+    )
+    return packed.select(
+        "doc_id",
+        *keep,
+        F.size("chunks").cast("long").alias("n_chunks"),
+        F.try_divide(total.cast("double"), F.size("chunks").cast("double")).alias("mean_tokens"),
     )
 
 
 def compare_settings(docs: DataFrame, settings: dict[str, tuple[int, bool]]) -> DataFrame:
-    """Chunk every document under several settings in one pass over the documents."""
+    """Pack every document under several settings in one pass; ``setting`` names them."""
     rows = F.array(
         *[
             F.struct(F.lit(name).alias("name"), F.lit(limit).alias("limit"), F.lit(merge).alias("merge"))
@@ -157,39 +180,33 @@ def compare_settings(docs: DataFrame, settings: dict[str, tuple[int, bool]]) ->
         ]
     )
     spread = docs.withColumn("_setting", F.explode(rows)).withColumn("setting", F.col("_setting.name"))
-    return chunk_documents(
+    return pack_documents(
         spread, F.col("_setting.limit"), F.col("_setting.merge"), keep=("setting",)
     )
 
 
-def chunk_samples(chunks: DataFrame, samples: int = 3, *keep: str) -> DataFrame:
+def chunk_samples(packed: DataFrame, samples: int = 3, *keep: str) -> DataFrame:
     """The first chunks of every document, as previews with token counts."""
-    return chunks.filter(F.col("chunk_index") < samples).select(
+    first = packed.select(
+        "doc_id", *keep, F.posexplode(F.slice("chunks", 1, samples)).alias("chunk_index", "chunk")
+    )
+    return first.select(
         "doc_id",
         *keep,
-        "chunk_index",
-        (F.col("n_heading_tokens") + F.col("n_tokens")).alias("n_tokens"),
-        preview(contextualized()).alias("sample"),
+        F.col("chunk_index").cast("long").alias("chunk_index"),
+        _context_tokens(F.col("chunk")).alias("n_tokens"),
+        preview(F.concat_ws("\n", F.col("chunk.headings"), F.col("chunk.text"))).alias("sample"),
     )
 
 
-def corpus_totals(chunks: DataFrame, docs: DataFrame) -> DataFrame:
-    """Documents, documents with chunks, chunks and words of a whole collection, as one row."""
-    none = F.lit(0).cast("long")
-    per_doc = chunks.groupBy("doc_id").agg(
-        none.alias("n_documents"),
-        F.lit(1).cast("long").alias("n_chunked"),
-        F.count("*").alias("n_chunks"),
-        F.sum("n_tokens").alias("n_tokens"),
-    )
-    all_docs = docs.select(
-        "doc_id",
-        F.lit(1).cast("long").alias("n_documents"),
-        none.alias("n_chunked"),
-        none.alias("n_chunks"),
-        none.alias("n_tokens"),
+def corpus_totals(packed: DataFrame) -> DataFrame:
+    """Documents, documents with chunks, chunks and words of a collection, as one row."""
+    tokens = F.aggregate(
+        "chunks", F.lit(0).cast("long"), lambda n, chunk: n + chunk["n_tokens"].cast("long")
     )
-    columns = ("n_documents", "n_chunked", "n_chunks", "n_tokens")
-    return per_doc.unionByName(all_docs).agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in columns]
+    return packed.agg(
+        F.count("*").alias("n_documents"),
+        F.count_if(F.size("chunks") > 0).alias("n_chunked"),
+        F.coalesce(F.sum(F.size("chunks").cast("long")), F.lit(0)).alias("n_chunks"),
+        F.coalesce(F.sum(tokens), F.lit(0)).alias("n_tokens"),
     )

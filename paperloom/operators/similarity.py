@@ -62,8 +62,11 @@ def scale(values: np.ndarray, scaling: str | None, low: float, high: float) -> n
     return values
 
 
-def row_profiles(keys: np.ndarray, matrix: np.ndarray) -> dict[str, np.ndarray]:
-    """What each row of a fold's matrix looks like: extremes, total and nearest other row."""
+def row_profiles(keys: np.ndarray, matrix: np.ndarray) -> dict:
+    """What each row of a fold's matrix looks like: extremes, total and nearest other row.
+
+    A row alone in its fold has no nearest row.
+    """
     others = np.round(matrix, 6)
     np.fill_diagonal(others, -np.inf)
     by_key = np.argsort(keys, kind="stable")
@@ -74,8 +77,8 @@ def row_profiles(keys: np.ndarray, matrix: np.ndarray) -> dict[str, np.ndarray]:
         "sim_min": matrix.min(axis=1),
         "sim_max": matrix.max(axis=1),
         "sim_sum": matrix.sum(axis=1),
-        "nearest": keys[nearest],
-        "nearest_sim": np.full(1, np.nan) if alone else others[np.arange(len(keys)), nearest],
+        "nearest": [None] if alone else keys[nearest],
+        "nearest_sim": [None] if alone else others[np.arange(len(keys)), nearest],
     }
 
 
