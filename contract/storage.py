@@ -60,12 +60,15 @@ def scan_glob(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "scan_manifest",
     """SELECT 'read' AS status, sum(octet_length(encode(html)) + 1)::BIGINT AS n_bytes FROM pages
-       UNION ALL SELECT 'absent.txt', NULL""",
+       UNION ALL SELECT DISTINCT regexp_extract(url, '^https?://[^/]+/([a-z]+)/', 1) || '.pdf', NULL FROM pages""",
 )
 def scan_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """The files of a folder are listed beside names that no file has, one per language."""
     path = _page_files(spark, folder)
     present = scan_files(spark, path, "*.txt").select("name")
-    names = present.unionByName(spark.range(1).select(F.lit("absent.txt").alias("name")))
+    language = F.regexp_extract("url", "^https?://[^/]+/([a-z]+)/", 1)
+    listed = table(spark, folder, "pages").select(F.concat(language, F.lit(".pdf")).alias("name")).distinct()
+    names = present.unionByName(listed)
     read = read_listed(spark, path, names).agg(
         F.lit("read").alias("status"), F.sum(F.length("content")).alias("n_bytes")
     )

@@ -8,6 +8,8 @@ and no row leaves its partition.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -86,15 +88,17 @@ def pack_documents(
     max_tokens: int | Column = C.CHUNK_TOKENS,
     merge_peers: bool | Column = True,
     keep: tuple[str, ...] = (),
+    tokenize: Callable[[Column], Column] = words,
 ) -> DataFrame:
     """Documents with their chunks as an array: ``doc_id, source, name, chunks``.
 
     An item over the limit is split; with ``merge_peers`` neighbours under the same
-    headings are joined while they fit. Both settings may be columns.
+    headings are joined while they fit. Both settings may be columns. ``tokenize``
+    gives the tokens that are counted and at which an item may be split.
     """
     limit = max_tokens if isinstance(max_tokens, Column) else F.lit(max_tokens)
     merge = merge_peers if isinstance(merge_peers, Column) else F.lit(merge_peers)
-    sized = docs.withColumn("_words", once(F.transform("items", lambda item: words(item["text"]))))
+    sized = docs.withColumn("_words", once(F.transform("items", lambda item: tokenize(item["text"]))))
     levels = F.transform(
         "items", lambda i: F.when(i["label"] == "picture", NOT_TEXT).otherwise(i["level"])
     )
@@ -114,9 +118,10 @@ def chunk_documents(
     max_tokens: int | Column = C.CHUNK_TOKENS,
     merge_peers: bool | Column = True,
     keep: tuple[str, ...] = (),
+    tokenize: Callable[[Column], Column] = words,
 ) -> DataFrame:
     """One row per chunk: ``doc_id, source, name, chunk_index`` and the chunk's content."""
-    packed = pack_documents(docs, max_tokens, merge_peers, keep)
+    packed = pack_documents(docs, max_tokens, merge_peers, keep, tokenize)
     rows = packed.select(
         "doc_id", "source", "name", *keep, F.posexplode("chunks").alias("chunk_index", "chunk")
     )

@@ -151,15 +151,19 @@ def _grid(
     left = rows.withColumn("_row_block", F.pmod(F.xxhash64(key), F.lit(n_rows))).withColumn(
         "_query_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_asked - 1).cast("long")))
     )
-    right = asked.withColumn("_query_block", F.pmod(F.xxhash64(query_key), F.lit(n_asked))).withColumn(
-        "_row_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_rows - 1).cast("long")))
+    # New names give new columns, also when the queries are taken from the corpus itself.
+    right = asked.select(
+        F.col(query_key).alias("_asked"),
+        F.col(query_vector).alias("_asked_vector"),
+        F.pmod(F.xxhash64(query_key), F.lit(n_asked)).alias("_query_block"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_rows - 1).cast("long"))).alias("_row_block"),
     )
 
     def task(block: pa.Table, questions: pa.Table) -> pa.Table:
-        ids = questions.column(query_key).to_pylist()
+        ids = questions.column("_asked").to_pylist()
         best = _Best(len(ids), k)
         if ids and block.num_rows:
-            asked_units = unit_rows(as_matrix(questions.column(query_vector)))
+            asked_units = unit_rows(as_matrix(questions.column("_asked_vector")))
             step = max(1, _BLOCK_CELLS // len(ids))
             for start in range(0, block.num_rows, step):
                 part = block.slice(start, step)

@@ -157,6 +157,12 @@ def test_headings_longer_than_the_limit_still_make_progress(spark):
     assert [c[0] for c in chunks_of(ch.chunk_documents(df, 3))] == ["x", "y"]
 
 
+def test_own_token_rule(spark):
+    df = make_documents(spark, [[("text", 0, "a-b-c d-e")]])
+    parts = chunks_of(ch.chunk_documents(df, 2, tokenize=lambda text: F.split(text, "[- ]")))
+    assert [(c[0], c[2]) for c in parts] == [("a b", 2), ("c d", 2), ("e", 1)]
+
+
 def test_settings_samples_and_totals(spark):
     df = make_documents(spark, [[("text", 0, f"w{i} x y")] * 4 for i in range(3)] + [[("title", 1, "only")]])
     study = ch.compare_settings(df, {"whole": (100, True), "single": (100, False)})

@@ -53,6 +53,15 @@ def test_block_plan_with_many_blocks(spark):
     assert found(search._rank(grid, "row_id", "query_id", 3)) == brute_force(corpus, queries, 3, range(80))
 
 
+def test_queries_taken_from_the_corpus(spark):
+    corpus = np.random.default_rng(6).normal(size=(40, 3)).astype(np.float32)
+    rows = keyed(spark, corpus, "row_id")
+    asked = rows.filter("row_id % 4 = 0").select((F.col("row_id") / 4).cast("long").alias("query_id"), "embedding")
+    exact = brute_force(corpus, corpus[::4], 2, range(40))
+    assert found(search.topk_search(rows, asked, 2)) == exact
+    assert found(search.topk_search(rows, asked, 2, max_queries=0)) == exact
+
+
 def test_fewer_rows_than_k_and_empty_inputs(spark):
     corpus = keyed(spark, np.eye(3), "row_id")
     assert search.topk_search(corpus, keyed(spark, np.eye(3)[:1], "query_id"), 9).count() == 3

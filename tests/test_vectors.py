@@ -290,3 +290,9 @@ def test_stochastic_greedy(spark):
 def test_missing_vectors_are_left_out(spark):
     picks = se.facility_location(vector_table(spark, [[1, 0], None, [0, 1]]), [1.0], num_folds=1)
     assert sorted(r.row_id for r in picks.collect()) == [0, 2]
+
+
+def test_repeated_keys_are_refused(spark):
+    df = vector_table(spark, random_vectors(20)).withColumn("row_id", F.col("row_id") % 10)
+    with pytest.raises(Exception, match="repeats values"):
+        se.facility_location(df, [0.5], num_folds=4).collect()
