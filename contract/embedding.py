@@ -20,7 +20,7 @@ from paperloom.operators.embedding import (
 from paperloom.session import scratch_path
 from paperloom.sources.stores import append_vectors, read_vectors
 
-_DOCUMENT_VECTORS = f"WITH {hashed('documents', 'doc_id', 'text', 'd')} {sparse_text('d', 'doc_id')}"
+_DOCUMENT_VECTORS = f"WITH {hashed('documents', 'doc_id', 'text', 'd')} {sparse_text('documents', 'doc_id', 'd')}"
 
 
 def vector_text(vector: Column) -> Column:
@@ -45,7 +45,7 @@ def hash_embed(spark: SparkSession, folder: str) -> DataFrame:
     "chunk_embeddings",
     f"""WITH RECURSIVE {ITEMS}, {pieces(DEFAULT_SETTING)}, {PACKED}, keyed AS (
       SELECT page_id || '#' || chunk_index AS key, text FROM chunks),
-    {hashed('keyed', 'key', 'text', 'c')} {sparse_text('c', 'key')}""",
+    {hashed('keyed', 'key', 'text', 'c')} {sparse_text('keyed', 'key', 'c')}""",
 )
 def chunk_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     chunks = embed(chunk_documents(documents(spark, folder)))

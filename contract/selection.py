@@ -79,7 +79,7 @@ def fold_budgets(spark: SparkSession, folder: str) -> DataFrame:
 
 _PICKS = f"""
     WITH RECURSIVE {folds(FOLDS)}, sims AS (
-      SELECT a.dataset, a.fold, a.vec_id AS i, b.vec_id AS j, round((list_dot_product(a.v, b.v) + 1) / 2, 9) AS s
+      SELECT a.dataset, a.fold, a.vec_id AS i, b.vec_id AS j, round((list_dot_product(a.v, b.v) + 1) / 2, 7) AS s
       FROM units a JOIN units b ON a.dataset = b.dataset AND a.fold = b.fold),
     {greedy("vec_id", SIZES)}"""
 
@@ -135,14 +135,18 @@ def selection_metadata(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "coverage_of_selection",
-    f"""{_PICKS} SELECT fold, round(sum(gain), 4) AS coverage FROM picks WHERE size_no = 1 GROUP BY fold""",
+    f"""{_PICKS}, best AS (
+      SELECT a.fold, a.vec_id, max((list_dot_product(a.v, b.v) + 1) / 2) AS s
+      FROM units a JOIN units b USING (dataset, fold) JOIN picks p ON p.vec_id = b.vec_id AND p.size_no = 1
+      GROUP BY ALL)
+    SELECT fold, round(sum(s), 6) AS coverage FROM best GROUP BY fold""",
 )
 def coverage_of_selection(spark: SparkSession, folder: str) -> DataFrame:
-    """Value of the chosen rows of every fold; it is the sum of their gains."""
+    """Value of the chosen rows of every fold, from the vectors alone."""
     from paperloom.operators.similarity import coverage
 
     chosen = _picks(spark, folder).filter(F.col("size_no") == 1).select(
         "dataset", "vec_id", F.lit("chosen").alias("member")
     )
     marked = folded(spark, folder).join(chosen, ["dataset", "vec_id"], "left")
-    return coverage(marked, "member", "vec_id").select("fold", F.round("coverage", 4).alias("coverage"))
+    return coverage(marked, "member", "vec_id").select("fold", F.round("coverage", 6).alias("coverage"))

@@ -165,11 +165,11 @@ def hashed(source: str, key: str, text: str, prefix: str) -> str:
   SELECT {key}, greatest(sqrt(sum(x * x)), 1e-12) AS len FROM {prefix}_vec GROUP BY {key})"""
 
 
-def sparse_text(prefix: str, key: str) -> str:
-    """Sparse vectors as text, one row per key."""
+def sparse_text(source: str, key: str, prefix: str) -> str:
+    """Sparse vectors as text, one row per key of ``source``."""
     return f"""
-SELECT {key}, string_agg(b || ':' || round(x * 1e6)::BIGINT, ',' ORDER BY b) AS vector
-FROM {prefix}_vec WHERE x <> 0 GROUP BY {key}"""
+SELECT {key}, coalesce(string_agg(b || ':' || round(x * 1e6)::BIGINT, ',' ORDER BY b) FILTER (WHERE x <> 0), '') AS vector
+FROM (SELECT DISTINCT {key} FROM {source}) LEFT JOIN {prefix}_vec USING ({key}) GROUP BY {key}"""
 
 
 def fold_table(source: str, key: str, number: int, keep: str) -> str:
@@ -219,7 +219,7 @@ def greedy(key: str, sizes: list) -> str:
         for no, (name, b, k) in enumerate(zip(names, budgets, keeps))
     )
     gain = (
-        "round(list_sum(list_transform(list_zip(c.s, g.cover), lambda p: greatest(p[1] - p[2], 0.0))), 6)"
+        "round(list_sum(list_transform(list_zip(c.s, g.cover), lambda p: greatest(p[1] - p[2], 0.0))), 7)"
     )
     return f"""
     candidates AS (SELECT dataset, fold, j, list(s ORDER BY i) AS s FROM sims GROUP BY dataset, fold, j),

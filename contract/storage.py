@@ -17,6 +17,7 @@ from contract.sql import (
     greedy,
     hashed,
     pieces,
+    sparse_text,
 )
 from paperloom.config import SubsetConfig
 from paperloom.constants import HASH_DIM, SUBSET_INSTRUCTION
@@ -185,9 +186,7 @@ def chunk_dump(spark: SparkSession, folder: str) -> DataFrame:
     f"""{_CHUNKS}, keyed AS (
       SELECT page_id || '#' || chunk_index AS key, substr(c.text, 1, 65535) AS text, c.text AS whole, url AS source,
              chunk_index FROM chunks c JOIN named USING (page_id)),
-    {hashed('keyed', 'key', 'whole', 'd')}, vectors AS (
-      SELECT key, string_agg(b || ':' || round(x * 1e6)::BIGINT, ',' ORDER BY b) AS vector
-      FROM d_vec WHERE x <> 0 GROUP BY key)
+    {hashed('keyed', 'key', 'whole', 'd')}, vectors AS ({sparse_text('keyed', 'key', 'd')})
     SELECT key AS id, text, source, chunk_index, vector FROM keyed JOIN vectors USING (key)""",
 )
 def vector_collection(spark: SparkSession, folder: str) -> DataFrame:
@@ -223,7 +222,7 @@ _SUBSET_SIZES = [0.05, 50]
       SELECT dataset, fold, doc_id, b, x / len AS x FROM d_vec JOIN d_len USING (doc_id) JOIN folded USING (doc_id)),
     sims AS (
       SELECT a.dataset, a.fold, a.doc_id AS i, b.doc_id AS j,
-             round((coalesce(sum(a.x * b.x), 0) + 1) / 2, 9) AS s
+             round((coalesce(sum(a.x * b.x), 0) + 1) / 2, 7) AS s
       FROM unit a JOIN unit b USING (dataset, fold, b) GROUP BY ALL),
     {greedy("doc_id", _SUBSET_SIZES)}
     SELECT merged.dataset, size_spec, rank, doc_id AS row_id, gain, source
