@@ -218,12 +218,15 @@ _SUBSET_SIZES = [0.05, 50]
     WITH RECURSIVE records AS (
       SELECT lang AS dataset, doc_id, source, '{SUBSET_INSTRUCTION}: ' || text AS text FROM documents),
     {fold_table("records", "doc_id", 10, "source, text")},
-    {hashed("folded", "doc_id", "text", "d")}, unit AS (
-      SELECT dataset, fold, doc_id, b, x / len AS x FROM d_vec JOIN d_len USING (doc_id) JOIN folded USING (doc_id)),
+    {hashed("folded", "doc_id", "text", "d")}, places AS (
+      SELECT dataset, fold, doc_id, r.b FROM folded, range({HASH_DIM}) AS r(b)),
+    unit AS (
+      SELECT dataset, fold, doc_id, list(coalesce(x / len, 0) ORDER BY b) AS v
+      FROM places LEFT JOIN d_vec USING (doc_id, b) LEFT JOIN d_len USING (doc_id) GROUP BY ALL),
     sims AS (
       SELECT a.dataset, a.fold, a.doc_id AS i, b.doc_id AS j,
-             round((coalesce(sum(a.x * b.x), 0) + 1) / 2, 7) AS s
-      FROM unit a JOIN unit b USING (dataset, fold, b) GROUP BY ALL),
+             round((list_dot_product(a.v, b.v) + 1) / 2, 7) AS s
+      FROM unit a JOIN unit b USING (dataset, fold)),
     {greedy("doc_id", _SUBSET_SIZES)}
     SELECT merged.dataset, size_spec, rank, doc_id AS row_id, gain, source
     FROM merged JOIN documents USING (doc_id) WHERE rank < keep""",
