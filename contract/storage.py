@@ -23,7 +23,6 @@ from paperloom.config import SubsetConfig
 from paperloom.constants import HASH_DIM, SUBSET_INSTRUCTION
 from paperloom.operators.chunking import chunk_documents, chunk_records
 from paperloom.operators.convert import export_documents, item_rows
-from paperloom.operators.embedding import embed
 from paperloom.plans.retrieval import chunk_key, page_vectors
 from paperloom.plans.subset import subset_records
 from paperloom.session import scratch_path

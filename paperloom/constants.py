@@ -18,7 +18,6 @@ SUBSET_INSTRUCTION = (
     "Generate embeddings that capture the core meaning of user-assistant conversations, "
     "ensuring the embeddings can be clustered based on semantic similarity for subset selection."
 )
-ENCODER_MAX_TOKENS = 4096
 ENCODER_BATCH_SIZE = 24
 
 DEFAULT_FOLDS = 50

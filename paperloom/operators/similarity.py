@@ -55,10 +55,13 @@ def similarity(
 
 
 def scale(values: np.ndarray, scaling: str | None, low: float, high: float) -> np.ndarray:
+    """Scale a matrix in place; a fold's matrix is the largest thing a task holds."""
     if scaling == "additive":
-        return (values + 1.0) / 2.0
-    if scaling == "min-max" and high > low:
-        return (values - low) / (high - low)
+        values += 1.0
+        values /= 2.0
+    elif scaling == "min-max" and high > low:
+        values -= low
+        values /= high - low
     return values
 
 
