@@ -8,53 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from paperloom.llm.common import hash_powers, materialized, mix, text_chunks, utf8
+from paperloom.llm.common import materialized, text_chunks, utf8
+from paperloom.llm.words import lowered_bytes, window_hashes, word_table
 
 WINDOW = 10
 #: Text bytes of test items in one broadcast; more items take more passes over the documents.
 BLOCK_BYTES = 16 << 20
 _FILTER_BITS = 22
-
-
-def _byte_tables() -> tuple[np.ndarray, np.ndarray]:
-    """Lower-cased bytes of words (0 elsewhere), and a random number for each byte."""
-    low = np.zeros(256, np.uint8)
-    for byte in range(256):
-        char = chr(byte)
-        if byte >= 128 or char.isdigit() or char.islower():
-            low[byte] = byte
-        elif char.isupper():
-            low[byte] = byte + 32
-    return low, mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-
-
-def word_table(data: np.ndarray, offsets: np.ndarray) -> dict:
-    """Words of texts laid end to end: lower-cased bytes, starts, ends, the text's number, hash sums."""
-    lows, numbers = _byte_tables()
-    low = lows[data]
-    inside = low > 0
-    first, last = inside.copy(), inside.copy()
-    first[1:] &= ~inside[:-1]
-    last[:-1] &= ~inside[1:]
-    edges = offsets[(offsets > 0) & (offsets < len(data))]
-    first[edges] = inside[edges]
-    last[edges - 1] = inside[edges - 1]
-    starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
-    up, down = hash_powers(max(len(data), len(starts)) + 1)
-    sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(numbers[low] * up[: len(data)], out=sums[1:])
-    hashes = mix((sums[ends] - sums[starts]) * down[starts])
-    sums = np.zeros(len(starts) + 1, np.uint64)
-    np.cumsum(hashes * up[: len(starts)], out=sums[1:])
-    owner = np.searchsorted(offsets, starts, "right") - 1
-    return {"low": low, "starts": starts, "ends": ends, "owner": owner, "sums": sums, "down": down}
-
-
-def window_hashes(words: dict, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of every run of ``size`` words, and whether it lies in one text."""
-    count = max(len(words["starts"]) - size + 1, 0)
-    hashes = mix((words["sums"][size : size + count] - words["sums"][:count]) * words["down"][:count])
-    return hashes, words["owner"][size - 1 : size - 1 + count] == words["owner"][:count]
+# Words are runs of digits, letters and non-ASCII bytes.
+_SEPARATORS = [b for b in range(128) if not chr(b).isalnum()]
 
 
 def _spelling(words: dict, at: int, size: int) -> bytes:
@@ -64,7 +26,7 @@ def _spelling(words: dict, at: int, size: int) -> bytes:
 def window_index(ids: list[str], texts: pa.Array, window: int) -> dict[int, dict]:
     """By window size: a bit filter, and spellings with their items by hash."""
     data, offsets = utf8(texts)
-    words = word_table(data, offsets)
+    words = word_table(data, offsets, *lowered_bytes(_SEPARATORS))
     lengths = np.bincount(words["owner"], minlength=len(ids))
     firsts = np.cumsum(lengths) - lengths
     index: dict[int, dict] = {}
@@ -96,7 +58,7 @@ def _scan(index: dict[int, dict], text: str):
     def step(batches):
         for batch in text_chunks(batches, text):
             data, offsets = utf8(batch.column(text))
-            words = word_table(data, offsets)
+            words = word_table(data, offsets, *lowered_bytes(_SEPARATORS))
             owner = words["owner"]
             lengths = np.bincount(owner, minlength=batch.num_rows)
             firsts = np.cumsum(lengths) - lengths

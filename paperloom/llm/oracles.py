@@ -60,3 +60,17 @@ named AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN places USING (doc_id) LEFT JOIN named USING (doc_id)"""
+
+ORACLES["op7_cover_tree_search"] = """
+WITH ints AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT q.vec_id AS query_id, x.vec_id,
+         CAST(list_dot_product(CAST(q.v AS DOUBLE[]), CAST(x.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM ints q JOIN ints x ON q.vec_id % 100 = 0 AND q.vec_id <> x.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scores)
+WHERE rank <= 10"""

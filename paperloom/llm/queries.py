@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import bpe, decontamination, language, secret_scan, sharding
+from paperloom.llm import bpe, cover_tree, decontamination, language, ngram_join, secret_scan, sharding, toxicity
 from paperloom.llm.common import held_out, table
 from paperloom.llm.oracles import ORACLES  # noqa: F401
 
@@ -20,6 +20,20 @@ def query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spark
     return function
 
 
+@query
+def op1_count_vector_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@query
+def op2_boosted_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", "toxic").where(~held_out(F.col("doc_id")))
+    scored = toxicity.score(docs, toxicity.train(docs, labels))
+    predicted = (F.col("score") >= 0.3).cast("int")
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"))
+
+
 @query
 def op3_feistel_sharding(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -44,6 +58,12 @@ def op5_blob_ledger_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(names.cast("binary"), 256).alias("base_sha256"), names.alias("spans"))
 
 
+@query
+def op7_cover_tree_search(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return cover_tree.top_k(vectors, vectors.where("vec_id % 100 = 0"), 10)
+
+
 @query
 def op8_matrix_bpe(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
