@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import bpe, cover_tree, decontamination, language, ngram_join, secret_scan, sharding, toxicity
+from paperloom.llm import bpe, cover_tree, decontamination, language, line_dedup, ngram_join, secret_scan, sharding, toxicity
 from paperloom.llm.common import held_out, table
 from paperloom.llm.oracles import ORACLES  # noqa: F401
 
@@ -72,6 +72,11 @@ def op8_matrix_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+@query
+def op9_fuzzy_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, folder, "documents").select("doc_id", "text"))
+
+
 @query
 def op10_broadcast_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
