@@ -248,7 +248,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     members = materialized(members.join(sizes, "hood").select("id", "d1", "hood", "blocks", "n"), "members")
     total = members.agg(F.sum("n")).first()[0] or 0
     shards = max(1, -(-total // (BLOCK_SHINGLES // 4)))
-    asked = rows.join(members.drop("n"), "id")
+    # The members grow with the corpus: they meet the texts by sorting, never by broadcast.
+    asked = rows.join(members.drop("n").hint("merge"), "id")
     sets = asked.mapInArrow(_sets, "id long, d1 long, hood long, blocks long, shingles binary")
     sets = materialized(sets, "shingles")
     # A key that repeats may bring the same set twice; the first of equal sets is compared.
