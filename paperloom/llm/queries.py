@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import bpe, cover_tree, decontamination, language, line_dedup, ngram_join, secret_scan, sharding, toxicity
+from paperloom.llm import bpe, cover_tree, decontamination, language, line_dedup, ngram_join, secret_scan, sharding, suffix_dedup, toxicity
 from paperloom.llm.common import held_out, table
 from paperloom.llm.oracles import ORACLES  # noqa: F401
 
@@ -58,6 +58,11 @@ def op5_blob_ledger_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(names.cast("binary"), 256).alias("base_sha256"), names.alias("spans"))
 
 
+@query
+def op6_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return suffix_dedup.without_repeats(table(spark, folder, "documents").select("doc_id", "text")).drop("kept_bytes")
+
+
 @query
 def op7_cover_tree_search(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
