@@ -22,9 +22,9 @@ from paperloom.llm.common import hash_powers, materialized, mix, text_chunks, ut
 WINDOW = 100
 GRAM = 24
 #: Runs of one task's buffer; bytes of text behind one bucket; bytes of runs in one shard.
-BUFFER_RUNS = 1_000_000
+BUFFER_RUNS = 500_000
 BUCKET_BYTES = 16 << 20
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 2 << 20
 #: Classes of one gram in one shard; more are dealt over several.
 SPLIT_CLASSES = 20_000
 _STRIDE = 25
