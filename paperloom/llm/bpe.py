@@ -196,7 +196,7 @@ def _encoder(vocabulary: dict, pattern: str, text: str, with_ids: bool):
             new = {"n_tokens": pa.array(counts, pa.int64()), "ids_sha256": pa.array(ids_digest), "decoded_sha256": pa.array(decoded_digest)}
             if with_ids:
                 new |= {"token_ids": pa.array(ids, pa.list_(pa.int32())), "decoded_text": pa.array(decoded, pa.string())}
-            kept = [n for n in batch.schema.names if n not in new and n != "_text"]
+            kept = [n for n in batch.schema.names if n not in new and n != "__text"]
             yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in kept), *new.values()], [*kept, *new])
 
     return step
@@ -215,8 +215,8 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", with_id
     added = {"n_tokens": "long", "ids_sha256": "string", "decoded_sha256": "string"}
     if with_ids:
         added |= {"token_ids": "array<int>", "decoded_text": "string"}
-    kept = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in added), F.col(text).alias("_text"))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields if f.name != "_text"]
+    kept = docs.select(*(F.col(f"`{c}`") for c in docs.columns if c not in added), F.col(text).alias("__text"))
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields if f.name != "__text"]
     schema = StructType.fromDDL(", ".join([*fields, *(f"{n} {t}" for n, t in added.items())]))
     vocabulary = docs.sparkSession.sparkContext.broadcast(build_vocabulary(read_ranks(path)))
-    return kept.mapInArrow(lambda batches: _encoder(vocabulary.value, pattern, "_text", with_ids)(batches), schema)
+    return kept.mapInArrow(lambda batches: _encoder(vocabulary.value, pattern, "__text", with_ids)(batches), schema)

@@ -104,9 +104,9 @@ def _predict(profiles: dict):
     def step(batches):
         letters = letter_table()
         languages = profiles["languages"]
-        for batch in text_chunks(batches, "_text"):
+        for batch in text_chunks(batches, "__text"):
             names, scores = [], []
-            for text in batch.column("_text").to_pylist():
+            for text in batch.column("__text").to_pylist():
                 grams = top_grams(*gram_counts(text or "", letters), profiles["size"])
                 if not len(grams) or not languages:
                     names.append(UNKNOWN)
@@ -115,7 +115,7 @@ def _predict(profiles: dict):
                 distance = out_of_place(grams, profiles)
                 names.append(languages[int(distance.argmin())])
                 scores.append(float(1 - distance.min()))
-            kept = [n for n in batch.schema.names if n != "_text"]
+            kept = [n for n in batch.schema.names if n != "__text"]
             columns = [*(batch.column(n) for n in kept), pa.array(names, pa.string()), pa.array(scores, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, [*kept, "lang_pred", "lang_score"])
 
@@ -129,8 +129,8 @@ def identify(docs: DataFrame, profiles: dict, text: str = "text") -> DataFrame:
     was learned. Equal distances go to the first language by name. Rows stay as they came,
     repeated ones too; columns of the added names are replaced. One pass without a shuffle.
     """
-    kept = docs.drop("lang_pred", "lang_score").withColumn("_text", F.col(text))
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields if f.name != "_text"]
+    kept = docs.drop("lang_pred", "lang_score").withColumn("__text", F.col(text))
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields if f.name != "__text"]
     schema = StructType.fromDDL(", ".join([*fields, "lang_pred string", "lang_score double"]))
     known = docs.sparkSession.sparkContext.broadcast(profiles)
     return kept.mapInArrow(lambda batches: _predict(known.value)(batches), schema)

@@ -122,13 +122,13 @@ def features(text: str, raw: np.ndarray, look: Tokens) -> list[float]:
 def _featurize(lexicon: dict[str, float]):
     def step(batches):
         look = Tokens(lexicon)
-        for batch in text_chunks(batches, "_text"):
-            data, offsets = utf8(batch.column("_text"))
+        for batch in text_chunks(batches, "__text"):
+            data, offsets = utf8(batch.column("__text"))
             rows = [
                 features(text or "", data[offsets[i] : offsets[i + 1]], look)
-                for i, text in enumerate(batch.column("_text").to_pylist())
+                for i, text in enumerate(batch.column("__text").to_pylist())
             ]
-            kept = [n for n in batch.schema.names if n != "_text"]
+            kept = [n for n in batch.schema.names if n != "__text"]
             columns = [*(batch.column(n) for n in kept), pa.array(rows, pa.list_(pa.float64()))]
             yield pa.RecordBatch.from_arrays(columns, [*kept, "_features"])
 
@@ -136,10 +136,10 @@ def _featurize(lexicon: dict[str, float]):
 
 
 def with_features(docs: DataFrame, lexicon: dict[str, float], text: str = "text", keep_text: bool = True) -> DataFrame:
-    kept = docs.withColumn("_text", F.col(text))
+    kept = docs.withColumn("__text", F.col(text))
     if not keep_text:
         kept = kept.drop(text)
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields if f.name != "_text"]
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema.fields if f.name != "__text"]
     known = docs.sparkSession.sparkContext.broadcast(lexicon)
     return kept.mapInArrow(
         lambda batches: _featurize(known.value)(batches), StructType.fromDDL(", ".join([*fields, "_features array<double>"]))
