@@ -86,10 +86,10 @@ def render_default(spark: SparkSession, folder: str) -> DataFrame:
 @query(
     "render_conversation",
     """
-    SELECT conv_id, turn // 4096 AS part,
+    SELECT conv_id,
            coalesce(string_agg(coalesce(role, '') || ': ' || coalesce(text, '') || chr(10), '' ORDER BY turn)
                     FILTER (WHERE coalesce(role, '') <> 'system'), '') AS rendered
-    FROM conversations GROUP BY conv_id, turn // 4096""",
+    FROM conversations GROUP BY conv_id""",
 )
 def render_conversation(spark: SparkSession, folder: str) -> DataFrame:
     return render_turns(table(spark, folder, "conversations"))

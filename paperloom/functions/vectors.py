@@ -32,6 +32,12 @@ def is_valid(vector: Column, dim: int) -> Column:
     return F.coalesce((F.size(vector) == dim) & ~broken, F.lit(False))
 
 
+def is_finite(vector: Column) -> Column:
+    """A vector without missing, undefined or infinite elements."""
+    broken = F.exists(vector, lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x) == float("inf")))
+    return vector.isNotNull() & ~F.coalesce(broken, F.lit(True))
+
+
 def as_matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
     """List column to a float64 matrix; all lists must have the same size."""
     if isinstance(column, pa.ChunkedArray):

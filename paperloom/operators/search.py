@@ -42,6 +42,8 @@ class _Best:
 
     def add(self, keys: np.ndarray, scores: np.ndarray) -> None:
         """Take in a block of scores, one row per key and one column per query."""
+        # A vector with an undefined element is no candidate and must not raise the floor.
+        scores = np.where(np.isfinite(scores), scores, -np.inf)
         if len(keys) > self.k:
             kth = np.partition(scores, len(keys) - self.k, axis=0)[len(keys) - self.k]
             floor = np.maximum(self.floor, kth)

@@ -161,7 +161,7 @@ def test_collection_rules(spark, tmp_path):
         (None, "t", "s", 0, None),
     ]
     kind = "chunk_id string, text string, source string, chunk_index long, embedding array<float>"
-    table = stores.collection_rows(spark.createDataFrame(rows, kind))
+    table = stores.collection_rows(spark.createDataFrame(rows, kind), text_chars=C.COLLECTION_TEXT_CHARS)
     assert table.filter("id = 'ok'").first().text == "t" * 65_535
     bad = {(r.rule, r.id, r.n) for r in stores.collection_violations(table, 2).collect()}
     assert bad == {
@@ -203,3 +203,13 @@ def test_vector_type_of_collection(spark):
     df = spark.createDataFrame([("i", "t", "s", 0, [1.0])], "chunk_id string, text string, source string, chunk_index int, embedding array<double>")
     kinds = {f.name: f.dataType for f in stores.collection_rows(df).schema}
     assert kinds["embedding"] == T.ArrayType(T.FloatType()) and kinds["chunk_index"] == T.LongType()
+
+
+def test_undefined_scores_are_no_hits():
+    import numpy as np
+
+    from paperloom.operators.search import _Best
+
+    best = _Best(1, 2)
+    best.add(np.arange(4), np.array([[0.9], [np.nan], [0.8], [0.2]]))
+    assert best.key.tolist() == [0, 2]

@@ -105,54 +105,54 @@ def test_shared_folder_comes_from_the_session(spark):
 
 
 @dataclass
-class Invoice:
-    invoice_number: str
-    total: float = 10
-    vendor_name: Optional[str] = None
+class Parcel:
+    tracking_code: str
+    weight_kg: float = 10
+    carrier: Optional[str] = None
 
 
-INVOICES = [
-    (1, "Invoice INV-1 total: 12.50 vendor: ACME"),
-    (2, "Invoice INV-2 vendor: ACME"),
-    (3, "Invoice INV-3 total: n/a"),
-    (4, "total: 7"),
+PARCELS = [
+    (1, "Parcel PX1 weighs 12.50 sent by Northwind Post"),
+    (2, "Parcel PX2 sent by Northwind Post"),
+    (3, "Parcel PX3 weighs n/a"),
+    (4, "weighs 7"),
 ]
 PATTERNS = {
-    "invoice_number": r"Invoice (\S+)",
-    "total": r"total: (\S+)",
-    "vendor_name": r"vendor: (\S+)",
+    "tracking_code": r"Parcel (\S+)",
+    "weight_kg": r"weighs (\S+)",
+    "carrier": r"sent by (\S+)",
 }
 
 
 def extracted(spark, template, fields=tuple(PATTERNS)):
-    df = spark.createDataFrame(INVOICES, "i int, text string")
+    df = spark.createDataFrame(PARCELS, "i int, text string")
     finders = ex.pattern_finders(F.col("text"), {f: PATTERNS[f] for f in fields})
     rows = ex.extract_fields(df, template, finders, "i").orderBy("i").collect()
     return [tuple(r)[1:] for r in rows]
 
 
 def test_string_and_dict_templates(spark):
-    expected = [("INV-1", 12.5, []), ("INV-2", None, []), ("INV-3", None, []), (None, 7.0, [])]
-    fields = ("invoice_number", "total")
-    assert extracted(spark, '{"invoice_number": "string", "total": "float"}', fields) == expected
-    assert extracted(spark, {"invoice_number": "string", "total": "float"}, fields) == expected
+    expected = [("PX1", 12.5, []), ("PX2", None, []), ("PX3", None, []), (None, 7.0, [])]
+    fields = ("tracking_code", "weight_kg")
+    assert extracted(spark, '{"tracking_code": "string", "weight_kg": "float"}', fields) == expected
+    assert extracted(spark, {"tracking_code": "string", "weight_kg": "float"}, fields) == expected
 
 
 def test_model_template(spark):
-    assert extracted(spark, Invoice) == [
-        ("INV-1", 12.5, "ACME", []),
-        ("INV-2", 10.0, "ACME", []),
-        ("INV-3", 10.0, None, []),
-        (None, 7.0, None, ["invoice_number"]),
+    assert extracted(spark, Parcel) == [
+        ("PX1", 12.5, "Northwind Post", []),
+        ("PX2", 10.0, "Northwind Post", []),
+        ("PX3", 10.0, None, []),
+        (None, 7.0, None, ["tracking_code"]),
     ]
 
 
 def test_instance_template(spark):
-    assert extracted(spark, Invoice("UNKNOWN", 0.0, "Known Inc")) == [
-        ("INV-1", 12.5, "ACME", []),
-        ("INV-2", 0.0, "ACME", []),
-        ("INV-3", 0.0, "Known Inc", []),
-        ("UNKNOWN", 7.0, "Known Inc", []),
+    assert extracted(spark, Parcel("UNKNOWN", 0.0, "Harbour Lines")) == [
+        ("PX1", 12.5, "Northwind Post", []),
+        ("PX2", 0.0, "Northwind Post", []),
+        ("PX3", 0.0, "Harbour Lines", []),
+        ("UNKNOWN", 7.0, "Harbour Lines", []),
     ]
 
 
@@ -224,3 +224,11 @@ def test_stream_ingest_takes_only_what_is_new(spark, tmp_path):
     later.write.mode("append").parquet(inbox)
     start_ingest(stream_pages(spark, inbox), store, state).awaitTermination()
     assert sorted(r.row_id for r in stores.read_vectors(spark, store).collect()) == ["1#0", "2#0", "3#0"]
+
+
+def test_listed_names_are_taken_literally(spark, tmp_path):
+    for name in ("a[1].bin", "a1.bin", "b{x,y}.bin", "c*.bin", "cc.bin"):
+        (tmp_path / name).write_bytes(name.encode())
+    names = spark.createDataFrame([("a[1].bin",), ("b{x,y}.bin",), ("c*.bin",)], "name string")
+    read = read_listed(spark, str(tmp_path), names).select("content").collect()
+    assert sorted(bytes(r[0]).decode() for r in read) == ["a[1].bin", "b{x,y}.bin", "c*.bin"]
