@@ -1,11 +1,13 @@
 """Where intermediate tables go.
 
-A cluster names a shared folder in ``spark.checkpoint.dir``. Only a local session
-that has none gets a temporary folder of its own.
+A cluster names a shared folder in ``spark.checkpoint.dir``. Only a session whose
+tasks all run in the driver's process (``local``, not ``local-cluster``) may do
+without and gets a temporary folder of its own.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -20,7 +22,7 @@ def shared_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not context.master.startswith("local"):
+        if not re.match(r"local(\[|$)", context.master):
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="paperloom-")
     context.setCheckpointDir(configured)
