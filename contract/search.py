@@ -10,8 +10,9 @@ from contract.similarity import centroids
 from contract.sql import CENTROIDS, DEFAULT_SETTING, ITEMS, NAMED_PAGES, PACKED, hashed, pieces
 from paperloom.constants import HASH_DIM
 from paperloom.functions.text import hit_preview, hit_source
+from paperloom.functions.vectors import as_matrix
 from paperloom.operators.embedding import embed
-from paperloom.operators.search import build_cells, cell_search, topk_search
+from paperloom.operators.search import CellIndex, build_cells, cell_search, topk_search
 from paperloom.plans.retrieval import chunk_key, page_vectors, semantic_search
 from paperloom.session import scratch_path
 from paperloom.sources.stores import collection_rows, read_collection, write_collection
@@ -37,14 +38,14 @@ def vector_topk(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("vector_topk_blocks", _TOPK)
 def vector_topk_blocks(spark: SparkSession, folder: str) -> DataFrame:
-    """The same through the plan for query tables that are too large to ship."""
+    """The same with the queries shipped in several blocks."""
     return topk_search(
         table(spark, folder, "embeddings"),
         centroids(spark, folder),
         5,
         "vec_id",
         query_key="label",
-        max_queries=0,
+        block_queries=3,
     )
 
 
@@ -67,20 +68,43 @@ def vector_topk_batch(spark: SparkSession, folder: str) -> DataFrame:
     return topk_search(docs, asked, 1, "doc_id", query_key="item_id")
 
 
-@query("ivf_topk")
+def _cosine(a: str, b: str) -> str:
+    return (
+        f"(list_dot_product({a}, {b}) / (greatest(sqrt(list_dot_product({a}, {a})), 1e-12)"
+        f" * greatest(sqrt(list_dot_product({b}, {b})), 1e-12)))"
+    )
+
+
+@query(
+    "ivf_topk",
+    f"""
+    WITH {CENTROIDS}, corpus AS (
+      SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
+    homes AS (
+      SELECT vec_id, e.v, label AS cell FROM centroids c, corpus e
+      QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY {_cosine('c.v', 'e.v')} DESC, label) = 1),
+    probed AS (
+      SELECT c.label, c.v, d.label AS cell FROM centroids c, centroids d
+      QUALIFY row_number() OVER (PARTITION BY c.label ORDER BY {_cosine('c.v', 'd.v')} DESC, d.label) <= 4),
+    scored AS (
+      SELECT label, vec_id, round({_cosine('p.v', 'h.v')}, 6) + 0.0 AS score FROM probed p JOIN homes h USING (cell))
+    SELECT label, row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+    FROM scored QUALIFY rank <= 5""",
+)
 def ivf_topk(spark: SparkSession, folder: str) -> DataFrame:
-    return _cells(spark, folder, probes=4)
+    """Four probes; the cell centres are the label means, given and not trained."""
+    means = centroids(spark, folder).orderBy("label").toArrow()
+    return _cells(spark, folder, CellIndex(as_matrix(means.column("embedding"))), probes=4)
 
 
 @query("ivf_topk_all_cells", _TOPK)
 def ivf_topk_all_cells(spark: SparkSession, folder: str) -> DataFrame:
     """With every cell probed the result is the exact one."""
-    return _cells(spark, folder, probes=16)
+    return _cells(spark, folder, build_cells(table(spark, folder, "embeddings"), cells=16), probes=16)
 
 
-def _cells(spark: SparkSession, folder: str, probes: int) -> DataFrame:
+def _cells(spark: SparkSession, folder: str, index: CellIndex, probes: int) -> DataFrame:
     vectors = table(spark, folder, "embeddings")
-    index = build_cells(vectors, cells=16)
     path = scratch_path(spark, "cells")
     stored = index.assign(vectors, "vec_id").hint("rebalance", "cell")
     stored.write.partitionBy("cell").parquet(path)

@@ -47,8 +47,7 @@ CONFIDENCE_GRADES = ("poor", "fair", "good", "excellent", "unspecified")
 SPACE_CLASS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in SPACES) + "]"
 
 # Own choices: sizes that bound what one task or the driver may hold.
-MAX_FOLD_ROWS = 4096
-MAX_BROADCAST_QUERIES = 10_000
-MAX_BROADCAST_BYTES = 64 * 1024 * 1024
+BLOCK_VECTORS = 10_000
+BLOCK_BYTES = 64 * 1024 * 1024
 HASH_DIM = 256
 NORM_FLOOR = 1e-12

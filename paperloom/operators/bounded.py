@@ -1,13 +1,16 @@
-"""Side tables that may be shipped to every task, after a check of their size."""
+"""Side tables that are shipped to every task: after a check of their size, or in blocks of one."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperloom import constants as C
 from paperloom.functions.vectors import as_matrix
+from paperloom.session import materialized
 
 
 def broadcast_if_small(df: DataFrame, weight: Column, limit: int) -> DataFrame:
@@ -20,26 +23,23 @@ def broadcast_if_small(df: DataFrame, weight: Column, limit: int) -> DataFrame:
     return F.broadcast(df) if total <= limit else df
 
 
-def small_vectors(
+def vector_blocks(
     df: DataFrame,
     key: str,
     vector: str,
-    max_rows: int = C.MAX_BROADCAST_QUERIES,
-    max_bytes: int = C.MAX_BROADCAST_BYTES,
-) -> tuple[list, np.ndarray] | None:
-    """Keys and matrix of a vector table, or None when it exceeds the bounds.
+    max_rows: int = C.BLOCK_VECTORS,
+    max_bytes: int = C.BLOCK_BYTES,
+) -> Iterator[tuple[list, np.ndarray]]:
+    """Keys and matrix of a vector table, block after block, at least one block.
 
-    At most ``max_rows + 1`` keys are counted, and vectors are fetched only once the
-    table is known to fit.
+    The table is stored first, so that it is computed once; its keys are unique, so
+    that their hashes deal blocks of about the given size.
     """
-    usable = df.select(key, vector).filter(F.col(vector).isNotNull())
-    size = (
-        usable.select(F.size(vector).alias("dim"))
-        .limit(max_rows + 1)
-        .agg(F.count("*").alias("rows"), F.max("dim").alias("dim"))
-        .first()
-    )
-    if size["rows"] > max_rows or size["rows"] * (size["dim"] or 0) * 8 > max_bytes:
-        return None
-    table = usable.orderBy(key).toArrow()
-    return table.column(0).to_pylist(), as_matrix(table.column(1))
+    stored = materialized(df.select(key, vector).filter(F.col(vector).isNotNull()), "vectors")
+    size = stored.agg(F.count("*").alias("rows"), F.max(F.size(vector)).alias("dim")).first()
+    fit = max(1, min(max_rows, max_bytes // (8 * max(1, size["dim"] or 0))))
+    blocks = max(1, -(-size["rows"] // fit))
+    for number in range(blocks):
+        part = stored.filter(F.pmod(F.xxhash64(key), F.lit(blocks)) == number)
+        table = part.orderBy(key).toArrow()
+        yield table.column(0).to_pylist(), as_matrix(table.column(1))

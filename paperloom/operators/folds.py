@@ -1,10 +1,9 @@
 """Shuffled folds of nearly equal size.
 
-The shuffle order is a digest of the row key, so rows spread evenly over a fixed
-number of digest buckets. Bucket counts give every bucket its place in the order;
-the rows that start a fold are then found per bucket, on keys alone. A vector
-learns its fold from its own digest and the few fold starts of its bucket, without
-being moved.
+The shuffle order is a digest of the row key, so rows spread evenly over digest
+buckets. Bucket counts give every bucket its place in the order, and a row's place
+in its bucket gives its fold. Work grows with the rows alone, and the largest unit
+of work is a bucket: a millionth of a dataset.
 """
 
 from __future__ import annotations
@@ -15,18 +14,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paperloom import constants as C
-from paperloom.operators.bounded import broadcast_if_small
 from paperloom.operators.ordering import shuffle_hash
-from paperloom.session import materialized
 
-_BUCKET_DIGITS = 3
-_MAX_FRAME = 500_000
+# 16 ** 5 buckets a dataset.
+_BUCKET_DIGITS = 5
 
 
-def fold_count(total: Column, num_folds: int, max_fold_rows: int = C.MAX_FOLD_ROWS) -> Column:
-    """Requested folds, raised until no fold exceeds ``max_fold_rows`` and cut to the row count."""
-    needed = F.ceil(total / F.lit(max_fold_rows))
-    return F.least(total, F.greatest(F.lit(num_folds).cast("long"), needed)).cast("long")
+def fold_count(total: Column, num_folds: int, rows_per_fold: int | None = None) -> Column:
+    """Folds as asked, or as many as ``rows_per_fold`` takes where it is given; never more than rows."""
+    asked = F.lit(num_folds) if rows_per_fold is None else F.ceil(total / F.lit(rows_per_fold))
+    return F.least(total, asked.cast("long"))
 
 
 def fold_at(position: Column, total: Column, folds: Column) -> Column:
@@ -50,21 +47,26 @@ def assign_folds(
     df: DataFrame,
     key: str = "row_id",
     num_folds: int = C.DEFAULT_FOLDS,
-    max_fold_rows: int = C.MAX_FOLD_ROWS,
+    rows_per_fold: int | None = None,
     seed: int = C.DEFAULT_SEED,
     groups: Sequence[str] = ("dataset",),
 ) -> DataFrame:
-    """Add ``fold``, ``fold_size`` and ``total`` to every row; ``key`` is unique in its group."""
-    if num_folds < 1:
-        raise ValueError("at least one fold is needed")
+    """Add ``fold``, ``fold_size`` and ``total`` to every row; ``key`` is unique in its group.
+
+    There are ``num_folds`` folds, or, where ``rows_per_fold`` is given, as many as keep
+    every fold within that number of rows. The table is read twice: its keys for the
+    counts, and whole, moving once to its buckets.
+    """
+    if num_folds < 1 or (rows_per_fold is not None and rows_per_fold < 1):
+        raise ValueError("at least one fold and one row per fold are needed")
     digest = shuffle_hash(key, seed)
     bucket = F.substring("_digest", 1, _BUCKET_DIGITS)
-    keys = df.select(*groups, key).withColumn("_digest", digest).withColumn("_bucket", bucket)
 
     group = Window.partitionBy(*groups)
     earlier = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     buckets = (
-        keys.groupBy(*groups, "_bucket")
+        df.select(*groups, digest.alias("_digest"))
+        .groupBy(*groups, bucket.alias("_bucket"))
         .agg(F.count("*").alias("_rows"))
         .select(
             *groups,
@@ -72,43 +74,16 @@ def assign_folds(
             F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"),
             F.sum("_rows").over(group).alias("total"),
         )
-        .withColumn("_folds", fold_count(F.col("total"), num_folds, max_fold_rows))
+        .withColumn("_folds", fold_count(F.col("total"), num_folds, rows_per_fold))
     )
-
     inside = Window.partitionBy(*groups, "_bucket").orderBy("_digest", key)
     position = F.col("_start") + F.row_number().over(inside) - 1
-    starts = (
-        keys.join(buckets, [*groups, "_bucket"])
-        .withColumn("_at", position)
-        .filter(
-            (F.col("_at") == 0)
-            | (
-                fold_at(F.col("_at"), F.col("total"), F.col("_folds"))
-                > fold_at(F.col("_at") - 1, F.col("total"), F.col("_folds"))
-            )
-        )
-        .groupBy(*groups, "_bucket")
-        .agg(F.collect_list(F.struct("_digest", key)).alias("_cuts"))
-    )
-    frame = materialized(
-        buckets.join(starts, [*groups, "_bucket"], "left")
-        .withColumn(
-            "_earlier_folds",
-            F.when(F.col("_start") == 0, 0).otherwise(
-                fold_at(F.col("_start") - 1, F.col("total"), F.col("_folds")) + 1
-            ),
-        )
-        .drop("_start")
-    )
-    frame = broadcast_if_small(frame, 1 + F.coalesce(F.size("_cuts"), F.lit(0)), _MAX_FRAME)
-
-    own = F.struct(F.col("_digest"), F.col(key))
-    passed = F.coalesce(F.size(F.filter("_cuts", lambda cut: cut <= own)), F.lit(0))
     return (
         df.withColumn("_digest", digest)
         .withColumn("_bucket", bucket)
-        .join(frame, [*groups, "_bucket"])
-        .withColumn("fold", (F.col("_earlier_folds") + passed - 1).cast("int"))
+        .join(buckets, [*groups, "_bucket"])
+        .withColumn("_at", position)
+        .withColumn("fold", fold_at(F.col("_at"), F.col("total"), F.col("_folds")))
         .withColumn("fold_size", fold_rows(F.col("fold"), F.col("total"), F.col("_folds")))
         .select(*df.columns, "fold", "fold_size", "total")
     )

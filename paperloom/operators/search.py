@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -14,13 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paperloom import constants as C
-from paperloom.functions.vectors import as_matrix, norm, typed_table, unit_rows
-from paperloom.operators.bounded import small_vectors
+from paperloom.functions.vectors import as_matrix, is_finite, norm, typed_table, unit_rows
+from paperloom.operators.bounded import broadcast_if_small, vector_blocks
 from paperloom.operators.ordering import top_per_key
+from paperloom.session import materialized
 
 SCORE_DIGITS = 6
 _BLOCK_CELLS = 4_000_000
-_GRID_ROWS = 50_000
 
 
 def _keys(column: pa.Array) -> np.ndarray:
@@ -40,19 +41,22 @@ class _Best:
         self.score = np.empty(0)
         self.key: np.ndarray | None = None
 
-    def add(self, keys: np.ndarray, scores: np.ndarray) -> None:
-        """Take in a block of scores, one row per key and one column per query."""
+    def add(self, keys: np.ndarray, scores: np.ndarray, asking: np.ndarray | None = None) -> None:
+        """Take in a block of scores, one row per key and one column per query of ``asking`` (default: all)."""
+        if asking is None:
+            asking = np.arange(len(self.floor))
         # A vector with an undefined element is no candidate and must not raise the floor.
         scores = np.where(np.isfinite(scores), scores, -np.inf)
         if len(keys) > self.k:
             kth = np.partition(scores, len(keys) - self.k, axis=0)[len(keys) - self.k]
-            floor = np.maximum(self.floor, kth)
+            floor = np.maximum(self.floor[asking], kth)
         else:
-            floor = self.floor
-        row, query = np.nonzero((scores >= floor) & np.isfinite(scores))
+            floor = self.floor[asking]
+        row, column = np.nonzero((scores >= floor) & np.isfinite(scores))
+        query = asking[column]
         key = keys[row] if self.key is None else np.concatenate([self.key, keys[row]])
         query_all = np.concatenate([self.query, query])
-        score = np.concatenate([self.score, scores[row, query]])
+        score = np.concatenate([self.score, scores[row, column]])
         order = np.lexsort((key, -score, query_all))
         sorted_query = query_all[order]
         first = np.searchsorted(sorted_query, sorted_query, side="left")
@@ -62,7 +66,6 @@ class _Best:
         full = order[place == self.k - 1]
         self.floor[query_all[full]] = score[full]
 
-
     def table(self, names: list, schema: T.StructType) -> pa.Table:
         """Candidates as ``query, key, score`` rows."""
         keys = [] if self.key is None else self.key.tolist()
@@ -94,29 +97,52 @@ def topk_search(
     vector: str = "embedding",
     query_key: str = "query_id",
     query_vector: str = "embedding",
-    max_queries: int = C.MAX_BROADCAST_QUERIES,
+    block_queries: int = C.BLOCK_VECTORS,
 ) -> DataFrame:
     """Exact top ``k`` rows of ``corpus`` by cosine for every query: ``query, rank, key, score``.
 
-    Scores are rounded to six digits, ties go to the smaller key. Up to
-    ``max_queries`` queries, after a check of their size, are shipped to the tasks:
-    the corpus is scanned in place and a partition passes on at most ``k`` rows per
-    query. A larger query table meets the corpus block by block, by shuffle.
+    Scores are rounded to six digits, ties go to the smaller key. Queries are shipped to
+    the tasks in blocks of a fixed size; for each block the corpus is scanned in place, and
+    a partition passes on at most ``k`` rows per query. Keys and query keys are unique.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
     rows = corpus.select(key, vector).filter(F.col(vector).isNotNull())
-    asked = queries.select(query_key, query_vector).filter(F.col(query_vector).isNotNull())
     schema = _hit_type(corpus, key, queries, query_key)
-    small = small_vectors(asked, query_key, query_vector, max_queries)
-    if small is None:
-        return _rank(_grid(rows, asked, k, key, vector, query_key, query_vector, schema), key, query_key, k)
+    found = [
+        _scan(rows, names, unit_rows(matrix), k, schema)
+        for names, matrix in vector_blocks(queries, query_key, query_vector, block_queries)
+    ]
+    return _rank(reduce(DataFrame.unionByName, found), key, query_key, k)
+
+
+def _scan(
+    rows: DataFrame,
+    names: list,
+    asked_units: np.ndarray,
+    k: int,
+    schema: T.StructType,
+    probed: np.ndarray | None = None,
+) -> DataFrame:
+    """The best ``k`` rows of every partition for every query of a block.
+
+    With ``probed`` (queries x cells) the rows' third column is their cell, and rows are
+    compared with the queries that probe it, with no others.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast((names, asked_units, probed))
 
-    names, matrix = small
-    shared = corpus.sparkSession.sparkContext.broadcast((names, unit_rows(matrix)))
+    def groups(part: pa.RecordBatch) -> Iterator[tuple[np.ndarray | slice, np.ndarray]]:
+        """Row numbers and the query numbers that they meet."""
+        ids, _, cells_of = shared.value
+        if cells_of is None:
+            yield slice(None), np.arange(len(ids))
+            return
+        cell = part.column(2).to_numpy(zero_copy_only=False)
+        for number in np.unique(cell):
+            yield np.flatnonzero(cell == number), np.flatnonzero(cells_of[:, number])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, asked_units = shared.value
+        ids, units_asked, _ = shared.value
         if not ids:
             return
         best = _Best(len(ids), k)
@@ -125,62 +151,24 @@ def topk_search(
             for start in range(0, batch.num_rows, step):
                 part = batch.slice(start, step)
                 units = unit_rows(as_matrix(part.column(1)))
-                best.add(_keys(part.column(0)), np.round(units @ asked_units.T, SCORE_DIGITS))
+                keys = _keys(part.column(0))
+                for chosen, asking in groups(part):
+                    scores = np.round(units[chosen] @ units_asked[asking].T, SCORE_DIGITS)
+                    best.add(keys[chosen], scores, asking)
         yield from best.table(ids, schema).to_batches()
 
-    return _rank(rows.mapInArrow(scan, schema), key, query_key, k)
+    return rows.mapInArrow(scan, schema)
 
 
-def _grid(
-    rows: DataFrame,
-    asked: DataFrame,
-    k: int,
-    key: str,
-    vector: str,
-    query_key: str,
-    query_vector: str,
-    schema: T.StructType,
-    block_rows: int = _GRID_ROWS,
-    block_queries: int = C.MAX_BROADCAST_QUERIES,
-) -> DataFrame:
-    """Candidates for a large query table.
+def with_hit_fields(hits: DataFrame, corpus: DataFrame, key: str, *fields: str) -> DataFrame:
+    """Attach corpus columns to hits.
 
-    Both sides are cut into blocks by key digest and every pair of blocks is one task,
-    which keeps ``k`` rows per query. Blocks are even because keys are unique.
+    Hits are stored, and broadcast where their bytes are few enough, so that the corpus,
+    texts included, is scanned in place; more hits meet it in a shuffle join.
     """
-    n_rows = max(1, -(-rows.count() // block_rows))
-    n_asked = max(1, -(-asked.count() // block_queries))
-    left = rows.withColumn("_row_block", F.pmod(F.xxhash64(key), F.lit(n_rows))).withColumn(
-        "_query_block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_asked - 1).cast("long")))
-    )
-    # New names give new columns, also when the queries are taken from the corpus itself.
-    right = asked.select(
-        F.col(query_key).alias("_asked"),
-        F.col(query_vector).alias("_asked_vector"),
-        F.pmod(F.xxhash64(query_key), F.lit(n_asked)).alias("_query_block"),
-        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_rows - 1).cast("long"))).alias("_row_block"),
-    )
-
-    def task(block: pa.Table, questions: pa.Table) -> pa.Table:
-        ids = questions.column("_asked").to_pylist()
-        best = _Best(len(ids), k)
-        if ids and block.num_rows:
-            asked_units = unit_rows(as_matrix(questions.column("_asked_vector")))
-            step = max(1, _BLOCK_CELLS // len(ids))
-            for start in range(0, block.num_rows, step):
-                part = block.slice(start, step)
-                units = unit_rows(as_matrix(part.column(vector)))
-                keys = _keys(part.column(key).combine_chunks())
-                best.add(keys, np.round(units @ asked_units.T, SCORE_DIGITS))
-        return best.table(ids, schema)
-
-    blocks = ["_row_block", "_query_block"]
-    return left.groupBy(*blocks).cogroup(right.groupBy(*blocks)).applyInArrow(task, schema)
-
-
-def with_hit_fields(hits: DataFrame, corpus: DataFrame, key: str, *fields: str) -> DataFrame:
-    """Attach corpus columns to hits. Hits are few; Spark picks the join by their size."""
-    return hits.join(corpus.select(key, *fields), key)
+    stored = materialized(hits, "hits")
+    width = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in hits.columns), F.lit(0))
+    return broadcast_if_small(stored, width, C.BLOCK_BYTES).join(corpus.select(key, *fields), key)
 
 
 @dataclass(frozen=True)
@@ -207,14 +195,12 @@ def build_cells(
     df: DataFrame,
     vector: str = "embedding",
     cells: int = C.IVF_CELLS,
-    rows_per_cell: int = 256,
+    fraction: float = 1.0,
     seed: int = C.DEFAULT_SEED,
 ) -> CellIndex:
-    """Train cell centres with k-means on a sample of at most about ``cells * rows_per_cell`` rows."""
-    usable = df.select(vector).filter(F.col(vector).isNotNull())
-    total = usable.count()
-    share = min(1.0, cells * rows_per_cell / max(1, total))
-    sample = usable if share == 1.0 else usable.sample(share, seed=seed)
+    """Train cell centres with distributed k-means on all rows, or on the ``fraction`` the caller states."""
+    usable = df.select(vector).filter(is_finite(F.col(vector)))
+    sample = usable if fraction == 1.0 else usable.sample(fraction, seed=seed)
     points = sample.filter(norm(F.col(vector)) > 0).select(
         array_to_vector(F.col(vector).cast("array<double>")).alias("features")
     )
@@ -233,39 +219,25 @@ def cell_search(
     query_key: str = "query_id",
     query_vector: str = "embedding",
     cell: str = "cell",
+    block_queries: int = C.BLOCK_VECTORS,
 ) -> DataFrame:
     """Top ``k`` among the rows of each query's ``probes`` nearest cells.
 
-    Only cells that some query probes are read, which prunes partitions when the table
-    is stored by cell. With as many probes as cells the result is the exact one.
+    Queries are shipped in blocks of a fixed size. For a block only the cells that some
+    query probes are read, which prunes partitions when the table is stored by cell, and a
+    row meets only the queries that probe its cell. With as many probes as cells the
+    result is the exact one.
     """
-    small = small_vectors(queries, query_key, query_vector)
-    if small is None:
-        raise ValueError("too many queries for one cell search: split the query table")
-    names, matrix = small
-    asked_units = unit_rows(matrix)
-    to_centres = asked_units @ unit_rows(index.centres).T
-    order = np.argsort(-to_centres, axis=1, kind="stable")[:, :probes]
-    probed = np.zeros(to_centres.shape, dtype=bool)
-    np.put_along_axis(probed, order, True, axis=1)
-    wanted = [int(c) for c in np.flatnonzero(probed.any(axis=0))]
-    shared = indexed.sparkSession.sparkContext.broadcast((names, asked_units, probed))
     schema = _hit_type(indexed, key, queries, query_key)
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, units_asked, asked_cells = shared.value
-        if not ids:
-            return
-        best = _Best(len(ids), k)
-        step = max(1, _BLOCK_CELLS // len(ids))
-        for batch in batches:
-            for start in range(0, batch.num_rows, step):
-                part = batch.slice(start, step)
-                units = unit_rows(as_matrix(part.column(1)))
-                scores = np.round(units @ units_asked.T, SCORE_DIGITS)
-                in_probe = asked_cells[:, part.column(2).to_numpy(zero_copy_only=False)].T
-                best.add(_keys(part.column(0)), np.where(in_probe, scores, -np.inf))
-        yield from best.table(ids, schema).to_batches()
-
-    rows = indexed.filter(F.col(cell).isin(wanted)).select(key, vector, cell)
-    return _rank(rows.mapInArrow(scan, schema), key, query_key, k)
+    centres = unit_rows(index.centres)
+    found = []
+    for names, matrix in vector_blocks(queries, query_key, query_vector, block_queries):
+        asked_units = unit_rows(matrix)
+        to_centres = asked_units @ centres.T
+        order = np.argsort(-to_centres, axis=1, kind="stable")[:, :probes]
+        probed = np.zeros(to_centres.shape, dtype=bool)
+        np.put_along_axis(probed, order, True, axis=1)
+        wanted = [int(c) for c in np.flatnonzero(probed.any(axis=0))]
+        rows = indexed.filter(F.col(cell).isin(wanted)).select(key, vector, cell)
+        found.append(_scan(rows, names, asked_units, k, schema, probed))
+    return _rank(reduce(DataFrame.unionByName, found), key, query_key, k)

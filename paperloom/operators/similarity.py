@@ -1,4 +1,4 @@
-"""Similarity inside folds and against a small reference set.
+"""Similarity inside folds and against a reference set.
 
 A fold is a bounded slice (see :mod:`paperloom.operators.folds`), so its matrix fits
 one task and the cost over all folds grows with the rows. Matrices are built and
@@ -8,6 +8,7 @@ used inside the task; only what a reducer makes of them leaves it.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -18,7 +19,7 @@ from pyspark.sql import types as T
 
 from paperloom import constants as C
 from paperloom.functions.vectors import as_matrix, output_type, typed_table, unit_rows
-from paperloom.operators.bounded import small_vectors
+from paperloom.operators.bounded import vector_blocks
 
 _BLOCK_CELLS = 4_000_000
 
@@ -190,68 +191,86 @@ def nearest_reference(
     vector: str = "embedding",
     reference_key: str = "ref_id",
     width: float = C.RBF_WIDTH,
+    block_references: int = C.BLOCK_VECTORS,
 ) -> DataFrame:
-    """Similarity of a table's rows to a small reference set, as a profile per row.
+    """Similarity of a table's rows to a reference set, as a profile per row; keys are unique.
 
-    The reference set is checked to be small and shipped to the tasks; the table is
-    scanned in place. Statistics of the whole matrix (the mean squared distance for
-    ``rbf``, the extremes for ``min-max``) come from one more aggregate over it.
+    References are shipped to the tasks in blocks of a fixed size, and for each block the
+    table is scanned in place; the profiles of a row, not its vector, then meet by key.
+    Ties go to the smaller reference. Statistics of the whole matrix (the mean squared
+    distance for ``rbf``, the extremes for ``min-max``) come from one more aggregate over it.
     """
     check_metric(metric, scaling)
-    small = small_vectors(references, reference_key, vector)
-    if small is None:
-        raise ValueError("the reference set is too large: use topk_search for large query tables")
-    names, matrix = small
-    shared = df.sparkSession.sparkContext.broadcast((np.asarray(names), matrix))
+    context = df.sparkSession.sparkContext
+    shared = [
+        context.broadcast((np.asarray(names), matrix))
+        for names, matrix in vector_blocks(references, reference_key, vector, block_references)
+    ]
     rows = df.select(key, vector).filter(F.col(vector).isNotNull())
 
-    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray]]:
-        step = max(1, _BLOCK_CELLS // max(1, len(shared.value[0])))
-        for batch in batches:
-            for start in range(0, batch.num_rows, step):
-                part = batch.slice(start, step)
-                yield part.column(0), as_matrix(part.column(1))
+    def scan(emit, schema) -> DataFrame:
+        """``emit`` applied to every block of rows beside every block of references."""
+        return reduce(DataFrame.unionByName, [rows.mapInArrow(partial(_beside, part, emit), schema) for part in shared])
 
     mean = None
     if metric == "rbf":
 
-        def distances(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for _, block in blocks(batches):
-                squares = squared_distances(block, shared.value[1])
-                yield pa.RecordBatch.from_pydict({"total": [squares.sum()], "n": [squares.size]})
+        def distances(keys: pa.Array, block: np.ndarray, names: np.ndarray, matrix: np.ndarray) -> pa.Table:
+            squares = squared_distances(block, matrix)
+            return pa.table({"total": [squares.sum()], "n": [squares.size]})
 
-        found = rows.mapInArrow(distances, "total double, n long").agg(F.sum("total"), F.sum("n")).first()
+        found = scan(distances, "total double, n long").agg(F.sum("total"), F.sum("n")).first()
         mean = found[0] / found[1] if found[1] else 0.0
 
     low, high = 0.0, 0.0
     if scaling == "min-max":
 
-        def extremes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for _, block in blocks(batches):
-                sims = similarity(block, shared.value[1], metric, width, mean)
-                yield pa.RecordBatch.from_pydict({"low": [sims.min()], "high": [sims.max()]})
+        def extremes(keys: pa.Array, block: np.ndarray, names: np.ndarray, matrix: np.ndarray) -> pa.Table:
+            sims = similarity(block, matrix, metric, width, mean)
+            return pa.table({"low": [sims.min()], "high": [sims.max()]})
 
-        found = rows.mapInArrow(extremes, "low double, high double").agg(F.min("low"), F.max("high")).first()
+        found = scan(extremes, "low double, high double").agg(F.min("low"), F.max("high")).first()
         low, high = found[0] or 0.0, found[1] or 0.0
 
     schema = T.StructType(
         [T.StructField(key, df.schema[key].dataType)]
-        + [T.StructField(n, T.DoubleType()) for n in ("sim_min", "sim_max", "sim_sum")]
+        + [T.StructField(n, T.DoubleType()) for n in ("sim_min", "sim_max", "sim_sum", "score")]
         + [T.StructField("nearest", references.schema[reference_key].dataType)]
     )
 
-    def profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for keys, block in blocks(batches):
-            sims = similarity(block, shared.value[1], metric, width, mean)
-            sims = scale(sims, scaling, low, high)
-            best = np.argmax(np.round(sims, 6), axis=1)
-            columns = {
-                key: keys,
-                "sim_min": sims.min(axis=1),
-                "sim_max": sims.max(axis=1),
-                "sim_sum": sims.sum(axis=1),
-                "nearest": shared.value[0][best],
-            }
-            yield from typed_table(columns, schema).to_batches()
-
-    return rows.mapInArrow(profiles, schema)
+    def profiles(keys: pa.Array, block: np.ndarray, names: np.ndarray, matrix: np.ndarray) -> pa.Table:
+        sims = scale(similarity(block, matrix, metric, width, mean), scaling, low, high)
+        rounded = np.round(sims, 6)
+        best = np.argmax(rounded, axis=1)
+        columns = {
+            key: keys,
+            "sim_min": sims.min(axis=1),
+            "sim_max": sims.max(axis=1),
+            "sim_sum": sims.sum(axis=1),
+            "score": rounded[np.arange(len(best)), best] + 0.0,
+            "nearest": names[best],
+        }
+        return typed_table(columns, schema)
+
+    return (
+        scan(profiles, schema)
+        .groupBy(key)
+        .agg(
+            F.min("sim_min").alias("sim_min"),
+            F.max("sim_max").alias("sim_max"),
+            F.sum("sim_sum").alias("sim_sum"),
+            F.min(F.struct((-F.col("score")).alias("score"), "nearest"))["nearest"].alias("nearest"),
+        )
+    )
+
+
+def _beside(shared, emit, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What ``emit`` makes of keys, vectors and a block of references, slice by slice."""
+    names, matrix = shared.value
+    if not len(names):
+        return
+    step = max(1, _BLOCK_CELLS // len(names))
+    for batch in batches:
+        for start in range(0, batch.num_rows, step):
+            part = batch.slice(start, step)
+            yield from emit(part.column(0), as_matrix(part.column(1)), names, matrix).to_batches()

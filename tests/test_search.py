@@ -30,7 +30,7 @@ def found(df, key="row_id"):
 
 
 @pytest.mark.parametrize("prefix", [None, "c"])
-@pytest.mark.parametrize("limit", [100, 0])
+@pytest.mark.parametrize("limit", [100, 2])
 def test_exact_search_with_copies(spark, small_batches, prefix, limit):
     rng = np.random.default_rng(1)
     corpus = rng.normal(size=(60, 4)).astype(np.float32)
@@ -38,19 +38,27 @@ def test_exact_search_with_copies(spark, small_batches, prefix, limit):
     corpus[50] = 0
     queries = np.vstack([rng.normal(size=(5, 4)), corpus[7:8]]).astype(np.float32)
     hits = search.topk_search(
-        keyed(spark, corpus, "row_id", prefix), keyed(spark, queries, "query_id"), 6, max_queries=limit
+        keyed(spark, corpus, "row_id", prefix), keyed(spark, queries, "query_id"), 6, block_queries=limit
     )
     names = [f"c{i}" if prefix else i for i in range(60)]
     assert found(hits) == brute_force(corpus, queries, 6, names)
 
 
-def test_block_plan_with_many_blocks(spark):
+def test_many_blocks_scan_the_corpus_in_place(spark):
     rng = np.random.default_rng(4)
     corpus, queries = rng.normal(size=(80, 3)).astype(np.float32), rng.normal(size=(9, 3)).astype(np.float32)
     rows, asked = keyed(spark, corpus, "row_id"), keyed(spark, queries, "query_id")
-    kind = search._hit_type(rows, "row_id", asked, "query_id")
-    grid = search._grid(rows, asked, 3, "row_id", "embedding", "query_id", "embedding", kind, 11, 2)
-    assert found(search._rank(grid, "row_id", "query_id", 3)) == brute_force(corpus, queries, 3, range(80))
+    hits = search.topk_search(rows, asked, 3, block_queries=2)
+    plan = hits._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 5 and "Join" not in plan and "Generate" not in plan
+    assert found(hits) == brute_force(corpus, queries, 3, range(80))
+
+
+def test_hit_texts_are_fetched_without_moving_the_corpus(spark):
+    rows = keyed(spark, np.eye(4), "row_id").withColumn("text", F.lit("long text"))
+    hits = search.topk_search(rows, keyed(spark, np.eye(4)[:1], "query_id"), 2)
+    plan = search.with_hit_fields(hits, rows, "row_id", "text")._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in plan
 
 
 def test_queries_taken_from_the_corpus(spark):
@@ -59,7 +67,7 @@ def test_queries_taken_from_the_corpus(spark):
     asked = rows.filter("row_id % 4 = 0").select((F.col("row_id") / 4).cast("long").alias("query_id"), "embedding")
     exact = brute_force(corpus, corpus[::4], 2, range(40))
     assert found(search.topk_search(rows, asked, 2)) == exact
-    assert found(search.topk_search(rows, asked, 2, max_queries=0)) == exact
+    assert found(search.topk_search(rows, asked, 2, block_queries=3)) == exact
 
 
 def test_fewer_rows_than_k_and_empty_inputs(spark):
@@ -82,6 +90,7 @@ def test_cells(spark, tmp_path):
     exact = brute_force(corpus, queries, 5, range(300))
     assert found(search.cell_search(stored, index, asked, 5, probes=10)) == exact
     near = found(search.cell_search(stored, index, asked, 5, probes=4))
+    assert found(search.cell_search(stored, index, asked, 5, probes=4, block_queries=6)) == near
     recall = len({(q, v[0]) for (q, _), v in near.items()} & {(q, v[0]) for (q, _), v in exact.items()}) / 100
     assert recall > 0.6
     one = search.cell_search(stored, index, asked.filter("query_id = 0"), 5, probes=1)

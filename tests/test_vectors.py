@@ -1,3 +1,4 @@
+import hashlib
 import itertools
 import math
 
@@ -11,7 +12,7 @@ from paperloom.functions.sizes import SubsetSize, check_sizes, parse_sizes, to_s
 from paperloom.functions.vectors import is_valid, l2_normalize
 from paperloom.operators import selection as se
 from paperloom.operators import similarity as si
-from paperloom.operators.bounded import broadcast_if_small, small_vectors
+from paperloom.operators.bounded import broadcast_if_small, vector_blocks
 from paperloom.operators.folds import assign_folds
 from paperloom.operators.ordering import range_positions, top_per_key
 from paperloom.operators.splits import assign_splits, first_split
@@ -71,32 +72,36 @@ def test_size_arithmetic(spark):
     assert [tuple(r) for r in advice.orderBy("n").collect()] == [(99_999, True, True), (100_000, False, False)]
 
 
-@pytest.mark.parametrize("n,k,most", [(0, 3, 10), (1, 3, 10), (7, 3, 10), (10, 3, 10), (10, 25, 10), (100, 4, 7), (1000, 50, 4096)])
+@pytest.mark.parametrize("n,k,most", [(0, 3, None), (1, 3, None), (7, 3, None), (10, 25, None), (6000, 1, None), (100, 4, 7), (10, 25, 10), (0, 3, 7), (1000, 50, 4096)])
 def test_folds_are_even_and_hold_every_row(spark, n, k, most):
     df = spark.range(n).select(F.lit("d").alias("dataset"), F.col("id").alias("row_id"), F.rand(1).alias("x"))
-    rows = assign_folds(df, num_folds=k, max_fold_rows=most).collect()
+    rows = assign_folds(df, num_folds=k, rows_per_fold=most).collect()
     assert sorted(r.row_id for r in rows) == list(range(n))
     counts = {}
     for r in rows:
         counts[r.fold] = counts.get(r.fold, 0) + 1
-    expected = min(n, max(k, math.ceil(n / most)))
+    expected = min(n, k if most is None else math.ceil(n / most))
     assert sorted(counts) == list(range(expected))
     assert all(counts[r.fold] == r.fold_size and r.total == n for r in rows)
     if counts:
-        assert max(counts.values()) - min(counts.values()) <= 1 and max(counts.values()) <= most
+        assert max(counts.values()) - min(counts.values()) <= 1 and max(counts.values()) <= (most or n)
 
 
-def test_folds_of_several_datasets_without_broadcast(spark, monkeypatch):
-    from paperloom.operators import folds
-
+def test_folds_of_several_datasets_follow_the_digest_order(spark):
     df = spark.range(300).select(
         F.when(F.col("id") < 200, "a").otherwise("b").alias("dataset"), F.col("id").alias("row_id")
     )
     usual = sorted(assign_folds(df, num_folds=6).collect())
-    monkeypatch.setattr(folds, "_MAX_FRAME", 0)
-    assert sorted(assign_folds(df, num_folds=6).collect()) == usual
+    expected = {}
+    for name, keys in (("a", range(200)), ("b", range(200, 300))):
+        order = sorted(keys, key=lambda i: hashlib.md5(f"{i}-42".encode()).hexdigest())
+        for fold, part in enumerate(np.array_split(order, 6)):
+            expected |= {(name, int(i)): fold for i in part}
+    assert {(r.dataset, r.row_id): r.fold for r in usual} == expected
     other_seed = sorted(assign_folds(df, num_folds=6, seed=7).collect())
     assert other_seed != usual
+    plan = assign_folds(df, num_folds=6)._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan
 
 
 def test_fold_does_not_depend_on_partitions(spark):
@@ -194,15 +199,29 @@ def test_bad_metric_and_uneven_vectors(spark):
 
 def test_bounded_tables(spark):
     df = vector_table(spark, random_vectors(10))
-    assert small_vectors(df, "row_id", "embedding", max_rows=9) is None
-    assert small_vectors(df, "row_id", "embedding", max_bytes=10) is None
-    keys, matrix = small_vectors(df, "row_id", "embedding")
-    assert keys == list(range(10)) and matrix.shape == (10, 6)
+    for limits in ({"max_rows": 3}, {"max_bytes": 100}, {}):
+        blocks = list(vector_blocks(df, "row_id", "embedding", **limits))
+        assert sorted(k for keys, _ in blocks for k in keys) == list(range(10))
+        assert (len(blocks) > 1) == bool(limits)
+        assert all(len(keys) == len(matrix) for keys, matrix in blocks)
+    (keys, matrix), = vector_blocks(df.filter("false"), "row_id", "embedding")
+    assert keys == [] and len(matrix) == 0
     plan = lambda d: d._jdf.queryExecution().analyzed().toString()
     assert "broadcast" in plan(broadcast_if_small(df, F.lit(1), 10))
     assert "broadcast" not in plan(broadcast_if_small(df, F.lit(1), 9))
 
 
+def test_reference_blocks_give_one_profile(spark):
+    df, refs = vector_table(spark, random_vectors(12)), vector_table(spark, random_vectors(9))
+    refs = refs.withColumnRenamed("row_id", "ref_id")
+    for metric, scaling in (("cosine", None), ("rbf", None), ("dot", "min-max")):
+        whole = si.nearest_reference(df, refs, metric, scaling).orderBy("row_id").collect()
+        parts = si.nearest_reference(df, refs, metric, scaling, block_references=2).orderBy("row_id").collect()
+        assert [r.nearest for r in whole] == [r.nearest for r in parts]
+        for name in ("sim_min", "sim_max", "sim_sum"):
+            assert [r[name] for r in whole] == pytest.approx([r[name] for r in parts])
+
+
 def value_of(matrix, chosen):
     s = scaled(expected_similarity(matrix, matrix, "cosine"), "additive")
     return s[:, list(chosen)].max(axis=1).sum() if chosen else 0.0
