@@ -8,6 +8,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from paperloom.llm import bpe, cover_tree, decontamination, language, line_dedup, ngram_join, queries, secret_scan, sharding, suffix_dedup, toxicity
@@ -275,6 +276,15 @@ def test_bpe_equals_the_library(spark, awkward, empty):
     assert bpe.encode(empty, path, public.PATTERN).collect() == []
 
 
+def test_simhash_bits_are_majorities(spark):
+    sizes = [1, 2, 3, 126, 127, 128, 129, 254, 255, 300]
+    rows = spark.createDataFrame([([f"w{i * n % 37}" for i in range(n)],) for n in sizes], "words array<string>")
+    rows = rows.select("words", F.transform("words", lambda w: F.xxhash64(w)).alias("hashes"), line_dedup.simhash(F.col("words")).alias("simhash"))
+    for row in rows.collect():
+        wanted = sum(1 << j for j in range(63) if 2 * sum(h >> j & 1 for h in row["hashes"]) > len(row["hashes"]))
+        assert row["simhash"] == wanted
+
+
 def test_line_dedup(spark, awkward, empty):
     line = "this is a line of ten words that many documents share"
     rows = [
