@@ -5,6 +5,7 @@ import hashlib
 import os
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -349,3 +350,77 @@ def test_pipeline(spark, docs):
     assert len(rows) == counts[-1] and all(len(r["token_ids"]) == r["n_tokens"] for r in rows)
     texts = {r["doc_id"]: r["text"] for r in stage.collect()}
     assert all(hashlib.sha256(texts[r["doc_id"]].encode()).hexdigest() == r["decoded_sha256"] for r in rows)
+
+
+def word_edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        old, row = row, [i + 1]
+        for j, y in enumerate(b):
+            row.append(min(old[j] + (x != y), old[j + 1] + 1, row[j] + 1))
+    return row[-1]
+
+
+def brute_lines(rows):
+    """Numbers of the lines that go, all lines of five words compared with all."""
+    first = {}
+    places = []
+    for key, text in sorted(rows):
+        for n, line in enumerate((text or "").split("\n")):
+            words = tuple(re.sub(r"[\W_]+", " ", line.lower()).split())
+            if len(words) >= 5:
+                places.append((key, n, words))
+                first.setdefault(words, (key, n))
+    root = {w: w for w in first}
+
+    def find(w):
+        while root[w] != w:
+            w = root[w]
+        return w
+
+    lines = sorted(first, key=len)
+    bags = [Counter(w) for w in lines]
+    for i, a in enumerate(lines):
+        for j in range(i + 1, len(lines)):
+            b, most = lines[j], len(lines[j]) // 5
+            if len(b) - len(a) > most:
+                break
+            if len(b) - (bags[i] & bags[j]).total() <= most and word_edits(a, b) <= most:
+                x, y = sorted((find(a), find(b)), key=first.get)
+                root[y] = x
+    gone = {key: [] for key, _ in rows}
+    for key, n, words in places:
+        if (key, n) != first[find(words)]:
+            gone[key].append(n)
+    return {k: ",".join(map(str, v)) for k, v in gone.items()}
+
+
+def edited_lines(seed, count):
+    """Lines of 5 to 40 words, and for each some with as many words changed, left out or put in as may be, or one more."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for n in rng.integers(5, 41, count):
+        base = [f"w{i}" for i in rng.integers(0, 300, n)]
+        rows.append(base)
+        for extra in (0, 0, 0, 1):
+            line = list(base)
+            for _ in range(n // 5 + extra):
+                place, kind = int(rng.integers(0, len(line))), int(rng.integers(0, 3))
+                line[place : place + (kind < 2)] = [f"x{rng.integers(0, 10**6)}"] if kind else []
+            rows.append(line)
+    return [(i, " ".join(line)) for i, line in enumerate(rows)]
+
+
+def removed(rows, spark):
+    return {k: r["removed"] for k, r in by_id(line_dedup.line_report(spark.createDataFrame(rows, "doc_id long, text string"))).items()}
+
+
+def test_lines_at_the_threshold_equal_all_pairs(spark):
+    rows = edited_lines(11, 120)
+    assert removed(rows, spark) == brute_lines(rows)
+
+
+@tables
+def test_line_dedup_equals_all_pairs(spark, docs):
+    found = {k: r["removed"] for k, r in by_id(queries.QUERIES["op9_fuzzy_line_dedup"](spark, FOLDER)).items()}
+    assert found == brute_lines(list(zip(docs.doc_id, docs.text)))
