@@ -2,7 +2,7 @@
 
 Only strings that may occur twice reach a suffix array. The least hash of the 24-byte grams of a 100-byte window
 depends on the window's bytes alone, so equal windows have equal least grams. Neighbouring windows with one least gram
-are a *run*; runs that are equal byte for byte are one class. Of a class all runs but the first go whole. The first
+are a *run*; runs of one gram with equal 128-bit BLAKE2b digests of their bytes are one class. Of a class all runs but the first go whole. The first
 runs of classes that share a gram are laid end to end in shards; a suffix array (Larsson-Sadakane
 refinement) with Kasai's common prefixes tells their equal windows.
 """
@@ -40,8 +40,8 @@ def _sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs_of(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
-    """Runs of all texts: text number, start in the text, windows, gram, digest, and whether a gram repeats inside."""
-    none = {n: np.empty(0, t) for n, t in (("doc", np.int64), ("start", np.int64), ("count", np.int64), ("gram", np.uint64), ("digest", np.uint64), ("self", bool))}
+    """Runs of all texts: text number, start in the text, windows, gram, and whether a gram repeats inside."""
+    none = {n: np.empty(0, t) for n, t in (("doc", np.int64), ("start", np.int64), ("count", np.int64), ("gram", np.uint64), ("self", bool))}
     if len(data) < WINDOW:
         return none
     numbers = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x94D049BB133111EB))
@@ -64,16 +64,28 @@ def runs_of(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     if not len(starts):
         return none
     ends = np.flatnonzero(whole & np.append(fresh[1:] | ~whole[1:], True)) + 1
-    digest = mix((sums[ends + WINDOW - 1] - sums[starts]) * down[starts]) ^ mix((ends - starts).astype(np.uint64))
     repeated = np.concatenate(([0], np.cumsum(twice)))
     doc = owner[starts]
     return {
-        "doc": doc, "start": starts - offsets[doc], "count": ends - starts, "gram": least[starts], "digest": digest & np.uint64(0xFFFFFFFF),
+        "doc": doc, "start": starts - offsets[doc], "count": ends - starts, "gram": least[starts],
         "self": (repeated[ends] > repeated[starts]) | (ends - starts > width),
     }
 
 
-_COLUMNS = (("gram", np.uint64), ("digest", np.uint32), ("id", np.int64), ("start", np.uint32), ("self", bool), ("gone", bool))
+def _digest(piece) -> bytes:
+    return hashlib.blake2b(piece, digest_size=16).digest()
+
+
+def digests_of(data: np.ndarray, offsets: np.ndarray, runs: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Both halves of the digest of each run's bytes."""
+    begins = offsets[runs["doc"]] + runs["start"]
+    ends = begins + runs["count"] + WINDOW - 1
+    view = memoryview(np.ascontiguousarray(data))
+    halves = np.frombuffer(b"".join([_digest(view[a:b]) for a, b in zip(begins.tolist(), ends.tolist())]), "<u8").reshape(-1, 2)
+    return {"digest": halves[:, 0], "check": halves[:, 1]}
+
+
+_COLUMNS = (("gram", np.uint64), ("digest", np.uint64), ("check", np.uint64), ("id", np.int64), ("start", np.uint32), ("self", bool), ("gone", bool))
 
 
 def _later_copies(runs: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -81,10 +93,10 @@ def _later_copies(runs: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 
     Versions of one document with equal starts are both first.
     """
-    order = np.lexsort((runs["start"], runs["id"], runs["digest"], runs["gram"]))
-    gram, digest, doc, start = (runs[n][order] for n in ("gram", "digest", "id", "start"))
+    order = np.lexsort((runs["start"], runs["id"], runs["check"], runs["digest"], runs["gram"]))
+    gram, digest, check, doc, start = (runs[n][order] for n in ("gram", "digest", "check", "id", "start"))
     fresh = np.ones(len(order), bool)
-    fresh[1:] = (gram[1:] != gram[:-1]) | (digest[1:] != digest[:-1])
+    fresh[1:] = (gram[1:] != gram[:-1]) | (digest[1:] != digest[:-1]) | (check[1:] != check[:-1])
     first = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
     return order, (doc != doc[first]) | (start != start[first])
 
@@ -107,7 +119,9 @@ def _ship(buckets: int):
     def step(batches):
         waiting, count = [], 0
         for batch in text_chunks(batches, "text"):
-            runs = runs_of(*utf8(batch.column("text")))
+            data, offsets = utf8(batch.column("text"))
+            runs = runs_of(data, offsets)
+            runs |= digests_of(data, offsets, runs)
             runs["id"] = batch.column("id").to_numpy()[runs["doc"]]
             waiting.append(runs)
             count += len(runs["doc"])
@@ -145,14 +159,17 @@ def _settle(table: pa.Table) -> pa.Table:
     })
 
 
-def _find_runs(runs: dict[str, np.ndarray], doc: int, firsts: np.ndarray, asked: list[dict]):
-    """Numbers of the runs of a text that were asked for by start and digest."""
+def _find_runs(data: np.ndarray, begin: int, runs: dict[str, np.ndarray], doc: int, firsts: np.ndarray, asked: list[dict]):
+    """Numbers of the runs of a text, which begins at ``begin``, that were asked for by start and digest."""
     a, b = firsts[doc], firsts[doc + 1]
     starts = runs["start"][a:b]
     for request in asked:
         k = int(np.searchsorted(starts, request["start"]))
-        if k < b - a and starts[k] == request["start"] and runs["digest"][a + k] == request["digest"]:
-            yield a + k, request
+        if k < b - a and starts[k] == request["start"]:
+            first = begin + request["start"]
+            digest = _digest(data[first : first + runs["count"][a + k] + WINDOW - 1])
+            if int.from_bytes(digest[:8], "little", signed=True) == request["digest"]:
+                yield a + k, request
 
 
 def _cut_runs(batches):
@@ -163,7 +180,7 @@ def _cut_runs(batches):
         firsts = np.searchsorted(runs["doc"], np.arange(batch.num_rows + 1))
         rows = []
         for doc, asked in enumerate(batch.column("asked").to_pylist()):
-            for k, request in _find_runs(runs, doc, firsts, asked):
+            for k, request in _find_runs(data, offsets[doc], runs, doc, firsts, asked):
                 begin = offsets[doc] + request["start"]
                 piece = data[begin : begin + runs["count"][k] + WINDOW - 1].tobytes()
                 rows.append((batch.column("id")[doc].as_py(), request["start"], request["digest"], request["gram"], request["part"], request["parts"], piece))
@@ -276,7 +293,7 @@ def _remove(batches):
         firsts = np.searchsorted(runs["doc"], np.arange(batch.num_rows + 1))
         change = np.zeros(len(data) + 1, np.int64)
         for doc, asked in enumerate(batch.column("asked").to_pylist()):
-            for k, request in _find_runs(runs, doc, firsts, asked or []):
+            for k, request in _find_runs(data, offsets[doc], runs, doc, firsts, asked or []):
                 begin = offsets[doc] + request["start"]
                 if request["at"] is None:
                     change[begin] += 1

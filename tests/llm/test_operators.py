@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -424,3 +425,21 @@ def test_lines_at_the_threshold_equal_all_pairs(spark):
 def test_line_dedup_equals_all_pairs(spark, docs):
     found = {k: r["removed"] for k, r in by_id(queries.QUERIES["op9_fuzzy_line_dedup"](spark, FOLDER)).items()}
     assert found == brute_lines(list(zip(docs.doc_id, docs.text)))
+
+
+def test_different_runs_of_one_gram_are_no_copies():
+    rng = np.random.default_rng(8)
+    letters = lambda *shape: rng.integers(97, 123, shape, dtype=np.uint8)
+    noise = letters(1_000_000)
+    runs = suffix_dedup.runs_of(noise, np.array([0, len(noise)]))
+    # A run of 77 windows has only its gram in common: the last bytes of its first window.
+    full = np.flatnonzero(runs["count"] == 77)
+    start = runs["start"][full[np.argmin(runs["gram"][full])]]
+    texts = letters(300_000, 100)
+    texts[:, 38:62] = noise[start + 76 : start + 100]
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(len(texts))), pa.array([t.tobytes().decode() for t in texts])], ["id", "text"])
+    shipped = list(suffix_dedup._ship(8)(iter([batch])))
+    gone = [np.frombuffer(b, bool) for s in shipped for b in s.column("gone").to_pylist()]
+    grams = np.concatenate([np.frombuffer(b, np.uint64) for s in shipped for b in s.column("gram").to_pylist()])
+    assert np.unique(grams, return_counts=True)[1].max() > 200_000
+    assert sum(g.sum() for g in gone) == 0
