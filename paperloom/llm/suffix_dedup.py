@@ -196,16 +196,17 @@ def suffix_order(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     suffixes that stand alone are left as they are.
     """
     n = len(data)
-    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    # Nine bits a byte: 0 is the end, so that a suffix that ends differs from one with NULs there.
+    padded = np.concatenate((data.astype(np.uint64) + np.uint64(1), np.zeros(7, np.uint64)))
     key = np.zeros(n, np.uint64)
-    for i in range(8):
-        key = (key << np.uint64(8)) | padded[i : i + n]
+    for i in range(7):
+        key = (key << np.uint64(9)) | padded[i : i + n]
     order = np.argsort(key, kind="stable")
     fresh = np.ones(n, bool)
     fresh[1:] = key[order[1:]] != key[order[:-1]]
     rank = np.empty(n, np.int64)
     rank[order] = np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
-    reach = 8
+    reach = 7
     while n:
         alone = fresh & np.append(fresh[1:], True)
         places = np.flatnonzero(~alone)

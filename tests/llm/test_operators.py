@@ -443,3 +443,13 @@ def test_different_runs_of_one_gram_are_no_copies():
     grams = np.concatenate([np.frombuffer(b, np.uint64) for s in shipped for b in s.column("gram").to_pylist()])
     assert np.unique(grams, return_counts=True)[1].max() > 200_000
     assert sum(g.sum() for g in gone) == 0
+
+
+def test_suffix_dedup_of_nul_bytes(spark):
+    for raw in (b"\0" * 40, b"ab\0\0", b"\0a\0\0\0", b"\0", b"", b"xyz" * 9 + b"\0" * 17, bytes(range(256)) + b"\xff\0\0"):
+        order, rank = suffix_dedup.suffix_order(np.frombuffer(raw, np.uint8))
+        assert order.tolist() == sorted(range(len(raw)), key=lambda i: raw[i:])
+        assert rank[order].tolist() == list(range(len(raw)))
+    rows = [(1, "some text in front " * 3 + "\0" * 250), (2, "\0" * 130), (3, "end" + "\0" * 99), (4, "\0" * 400 + "x")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    assert repeats(suffix_dedup.without_repeats(frame)) == brute_repeats(rows)
