@@ -453,3 +453,9 @@ def test_suffix_dedup_of_nul_bytes(spark):
     rows = [(1, "some text in front " * 3 + "\0" * 250), (2, "\0" * 130), (3, "end" + "\0" * 99), (4, "\0" * 400 + "x")]
     frame = spark.createDataFrame(rows, "doc_id long, text string")
     assert repeats(suffix_dedup.without_repeats(frame)) == brute_repeats(rows)
+
+
+def test_lines_edited_at_both_ends_are_alike(spark):
+    words = [f"word{i}" for i in range(20)]
+    rows = [(1, " ".join(words)), (2, " ".join(["2021", *words[1:-1], "17"])), (3, " ".join(["monday", *words, "page"]))]
+    assert removed(rows, spark) == {1: "", 2: "0", 3: "0"} == brute_lines(rows)
