@@ -459,3 +459,19 @@ def test_lines_edited_at_both_ends_are_alike(spark):
     words = [f"word{i}" for i in range(20)]
     rows = [(1, " ".join(words)), (2, " ".join(["2021", *words[1:-1], "17"])), (3, " ".join(["monday", *words, "page"]))]
     assert removed(rows, spark) == {1: "", 2: "0", 3: "0"} == brute_lines(rows)
+
+
+def test_lines_linked_through_others_and_in_crowds(spark, monkeypatch):
+    rows = []
+    for chain in range(12):
+        line = [f"c{chain}w{i}" for i in range(20)]
+        for step in range(5):
+            rows.append((len(rows), " ".join(line)))
+            line = [f"s{chain}n{step}" if i % 5 == step and i < 15 else w for i, w in enumerate(line)]
+    # Unlike lines that share a hot pair of long words.
+    rows += [(1000 + i, " ".join(f"{'ab'[i % 2]}{i // 2 % 9}x{j + i % 3 // 2 * 50}" for j in range(8)) + " extraordinarily longwordsthatmanylineshave") for i in range(60)]
+    wanted = brute_lines(rows)
+    assert removed(rows, spark) == wanted
+    monkeypatch.setattr(line_dedup, "PART_LINES", 4)
+    monkeypatch.setattr(line_dedup, "STAR_ROUNDS", 1)
+    assert removed(rows, spark) == wanted
