@@ -475,3 +475,11 @@ def test_lines_linked_through_others_and_in_crowds(spark, monkeypatch):
     monkeypatch.setattr(line_dedup, "PART_LINES", 4)
     monkeypatch.setattr(line_dedup, "STAR_ROUNDS", 1)
     assert removed(rows, spark) == wanted
+
+
+def test_words_with_equal_codes_differ(spark):
+    words = spark.range(4000).select(F.concat(F.lit("v"), "id").alias("word"))
+    codes = words.select("word", line_dedup.word_codes(F.array("word")).alias("code"))
+    a, b = codes.groupBy("code").agg(F.array_sort(F.collect_list("word")).alias("words")).where("size(words) > 1").first()["words"][:2]
+    rows = [(1, f"one two three {a} five six p1 eight nine q1"), (2, f"one two three {b} five six p2 eight nine q2")]
+    assert removed(rows, spark) == {1: "", 2: ""}
