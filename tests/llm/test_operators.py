@@ -483,3 +483,11 @@ def test_words_with_equal_codes_differ(spark):
     a, b = codes.groupBy("code").agg(F.array_sort(F.collect_list("word")).alias("words")).where("size(words) > 1").first()["words"][:2]
     rows = [(1, f"one two three {a} five six p1 eight nine q1"), (2, f"one two three {b} five six p2 eight nine q2")]
     assert removed(rows, spark) == {1: "", 2: ""}
+
+
+def test_line_normalisation_of_any_script(spark):
+    rows = [
+        (1, "“Five words” – in this line…"), (2, "Five words in this line"), (3, "five words in «this» line"),
+        (4, "今天天气很好我们去公园"), (5, "今天天气很好,我们去公园。"), (6, "明日は雨です"),
+    ]
+    assert removed(rows, spark) == {1: "", 2: "0", 3: "0", 4: "", 5: "0", 6: ""}
