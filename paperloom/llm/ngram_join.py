@@ -268,3 +268,14 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     groups = near_duplicates(docs.select(key, text), key, text)
     gone = materialized(groups.where(F.col("component_id") != F.col(key)).select(key).distinct(), "gone")
     return docs.join(gone, key, "left_anti")
+
+
+def without_copies(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row for each key and text, by the text's SHA-256; null is a key and a text like others. Of rows that differ elsewhere the least hash stays.
+
+    The least is found before the shuffle, so that many copies of one row are no single task's work.
+    """
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    rows = docs.select(F.col(f"`{key}`").alias("id"), F.sha2(F.col(f"`{text}`").cast("binary"), 256).alias("digest"), row.alias("row"))
+    kept = rows.groupBy("id", "digest").agg(F.min_by("row", F.xxhash64("row")).alias("row"))
+    return kept.select("row.*")

@@ -491,3 +491,10 @@ def test_line_normalisation_of_any_script(spark):
         (4, "今天天气很好我们去公园"), (5, "今天天气很好,我们去公园。"), (6, "明日は雨です"),
     ]
     assert removed(rows, spark) == {1: "", 2: "0", 3: "0", 4: "", 5: "0", 6: ""}
+
+
+def test_pipeline_keeps_one_of_repeated_rows(spark, awkward):
+    rows = [(1, "one text that stands here twice in all"), (1, "one text that stands here twice in all"), (None, "no id"), (None, "no id"), (2, None), (2, None), (1, "other")]
+    kept = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), FOLDER)
+    assert sorted(map(str, kept.collect())) == sorted(f"Row(doc_id={k!r}, text={t!r})" for k, t in set(rows))
+    assert corpus_pipeline.drop_near_duplicates(spark, awkward, FOLDER).columns == awkward.columns
