@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import bpe, cover_tree, decontamination, language, line_dedup, ngram_join, secret_scan, sharding, suffix_dedup, toxicity
+from paperloom.llm import bpe, cover_tree, decontamination, fill_middle, language, line_dedup, ngram_join, secret_scan, sharding, suffix_dedup, toxicity
 from paperloom.llm.common import held_out, table
 from paperloom.llm.oracles import ORACLES  # noqa: F401
 
@@ -95,3 +95,11 @@ def op10_broadcast_decontamination(spark: SparkSession, folder: str) -> DataFram
         F.sha2(ids.cast("binary"), 256).alias("items_sha256"),
         decontamination.contaminated(found).alias("contaminated"),
     )
+
+
+@query
+def op12_framed_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = fill_middle.fim_digests(fill_middle.fill_in_middle(docs))
+    cuts = [F.col("cut1").alias("prefix_chars"), (F.col("cut2") - F.col("cut1")).alias("middle_chars")]
+    return found.select(F.col("key").alias("doc_id"), "n", "form", *cuts, "output_sha256", "restored_sha256")
