@@ -91,3 +91,61 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN low END AS prefix_chars,
               ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
        sha256(body) AS restored_sha256
 FROM parts"""
+
+# Turns are searched by recursion, with the best cost, edits and lines of every last role; DuckDB has no crc32.
+ORACLES["op13_survivor_repair"] = r"""
+WITH RECURSIVE crc AS (
+  SELECT list_transform(range(256), lambda b: list_reduce(range(8), lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b)) AS t),
+named AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS body,
+         coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' ') AS name FROM conversations),
+kinds AS (
+  SELECT conv_id, turn, role, body,
+         xor(list_reduce(list_transform(string_split(name, ''), lambda x: CAST(ascii(x) AS BIGINT)),
+             lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]), 4294967295), 4294967295) % 20 AS kind FROM named, crc),
+damaged AS (
+  SELECT conv_id, turn, CASE kind WHEN 4 THEN 'user' ELSE role END AS role,
+         CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(body, '[.!?]', '', 'g') ELSE body END AS body,
+         unnest(CASE kind WHEN 0 THEN [] WHEN 3 THEN [1, 2] ELSE [1] END) AS copy FROM kinds),
+turns AS (
+  SELECT conv_id, turn, role, body, role[1:1] AS initial,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(body), copy) AS i,
+         count(*) OVER (PARTITION BY conv_id) AS n,
+         lag(role[1:1]) OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, md5(body), copy) AS before,
+         CASE WHEN NOT regexp_matches(body, '[^\x20\x09-\x0D]') THEN 'blank'
+              WHEN row_number() OVER (PARTITION BY conv_id, role, body ORDER BY turn NULLS FIRST, copy) > 1 THEN 'duplicate'
+              WHEN NOT regexp_matches(body, '[.!?][\x20\x09-\x0D]*\z') THEN 'truncated' ELSE '' END AS fault
+  FROM damaged),
+inserts(st, letters, mid, lines) AS (
+  VALUES ('', '', '', CAST([] AS VARCHAR[])), ('', 'I', 'u', ['user:']), ('', 'II', 'a', ['user:', 'assistant:']),
+         ('s', '', 's', []), ('s', 'I', 'u', ['user:']), ('s', 'II', 'a', ['user:', 'assistant:']),
+         ('u', '', 'u', []), ('u', 'I', 'a', ['assistant:']), ('u', 'II', 'u', ['assistant:', 'user:']),
+         ('a', '', 'a', []), ('a', 'I', 'u', ['user:']), ('a', 'II', 'a', ['user:', 'assistant:'])),
+walk AS (
+  SELECT DISTINCT conv_id, CAST(0 AS BIGINT) AS i, n, '' AS st, {'cost': CAST(0 AS BIGINT), 'audit': '', 'lines': CAST([] AS VARCHAR[])} AS best FROM turns
+  UNION ALL
+  SELECT conv_id, i, n, st, min({'cost': cost, 'audit': audit, 'lines': lines})
+  FROM (
+    SELECT w.conv_id, r.i, w.n, CASE x WHEN 'D' THEN mid WHEN 'K' THEN initial ELSE CASE mid WHEN 'u' THEN 'a' ELSE 'u' END END AS st,
+           w.best.cost + 3 * length(letters) + CASE x WHEN 'D' THEN 4 WHEN 'R' THEN 3 ELSE 0 END
+             + CASE WHEN x <> 'D' AND fault = 'truncated' THEN 3 ELSE 0 END AS cost,
+           w.best.audit || letters || x AS audit,
+           w.best.lines || t.lines || CASE x WHEN 'D' THEN [] WHEN 'K' THEN [role || ':' || body]
+             ELSE [CASE mid WHEN 'u' THEN 'assistant:' ELSE 'user:' END || body] END AS lines
+    FROM walk w JOIN turns r ON w.conv_id IS NOT DISTINCT FROM r.conv_id AND r.i = w.i + 1
+    JOIN inserts t ON t.st = w.st CROSS JOIN (VALUES ('D'), ('K'), ('R')) AS acts(x)
+    WHERE x = 'D' OR fault NOT IN ('blank', 'duplicate') AND (x = 'R' OR initial = 's' AND mid = '' OR initial = 'u' AND mid <> 'u' OR initial = 'a' AND mid = 'u'))
+  GROUP BY conv_id, i, n, st),
+ends AS (
+  SELECT conv_id, min({'cost': best.cost + 3 * length(letters), 'audit': best.audit || letters, 'lines': best.lines || t.lines}) AS best
+  FROM walk w JOIN inserts t ON t.st = w.st
+  WHERE i = n AND (mid = 'a' OR mid = '') GROUP BY conv_id),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (fault = 'blank') AS blank,
+         count(*) FILTER (fault = 'duplicate') AS duplicate, count(*) FILTER (fault = 'truncated') AS truncated,
+         count(*) FILTER (i > 1 AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal FROM turns GROUP BY conv_id)
+SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+       coalesce(illegal, 0) AS illegal, coalesce(e.best.cost, 0) AS cost, coalesce(e.best.audit, '') AS audit,
+       sha256(coalesce(array_to_string(e.best.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) o
+LEFT JOIN counts c ON o.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN ends e ON o.conv_id IS NOT DISTINCT FROM e.conv_id"""

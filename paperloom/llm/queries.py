@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import bpe, cover_tree, decontamination, fill_middle, language, line_dedup, ngram_join, secret_scan, sharding, suffix_dedup, toxicity
+from paperloom.llm import bpe, conversation_repair, cover_tree, decontamination, fill_middle, language, line_dedup, ngram_join, secret_scan, sharding, suffix_dedup, toxicity
 from paperloom.llm.common import held_out, table
 from paperloom.llm.oracles import ORACLES  # noqa: F401
 
@@ -103,3 +103,15 @@ def op12_framed_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     found = fill_middle.fim_digests(fill_middle.fill_in_middle(docs))
     cuts = [F.col("cut1").alias("prefix_chars"), (F.col("cut2") - F.col("cut1")).alias("middle_chars")]
     return found.select(F.col("key").alias("doc_id"), "n", "form", *cuts, "output_sha256", "restored_sha256")
+
+
+@query
+def op13_survivor_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    damaged = conversation_repair.damage(conversations)
+    found = conversation_repair.repair_digests(conversation_repair.repair(damaged))
+    same = F.col("conv_id").eqNullSafe(F.col("conv"))
+    whole = conversations.select("conv_id").distinct().join(found, same, "left").drop("conv")
+    empty = F.sha2(F.lit("").cast("binary"), 256)
+    counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return whole.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", empty).alias("repaired_sha256"))
