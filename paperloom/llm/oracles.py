@@ -149,3 +149,17 @@ SELECT o.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coales
        sha256(coalesce(array_to_string(e.best.lines, chr(10)), '')) AS repaired_sha256
 FROM (SELECT DISTINCT conv_id FROM conversations) o
 LEFT JOIN counts c ON o.conv_id IS NOT DISTINCT FROM c.conv_id LEFT JOIN ends e ON o.conv_id IS NOT DISTINCT FROM e.conv_id"""
+
+ORACLES["op11_seed_and_extend"] = r"""
+WITH docs AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+windows AS (
+  SELECT doc_id, i, md5(array_to_string(words[i:i+49], ' ')) AS spelling
+  FROM (SELECT doc_id, words, unnest(generate_series(1, len(words) - 49)) AS i FROM docs WHERE len(words) >= 50)),
+firsts AS (SELECT spelling, min(doc_id) AS first FROM windows GROUP BY spelling),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(i, i + 49)) AS p FROM windows JOIN firsts USING (spelling) WHERE doc_id > first),
+counted AS (SELECT doc_id, list(p) AS places FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(len(places), 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(array_to_string(CASE WHEN places IS NULL THEN words ELSE
+         [words[j] FOR j IN range(1, len(words) + 1) IF NOT list_contains(places, j)] END, ' '), '')) AS kept_sha256
+FROM docs d LEFT JOIN counted c USING (doc_id)"""

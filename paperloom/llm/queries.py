@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperloom.llm import bpe, conversation_repair, cover_tree, decontamination, fill_middle, language, line_dedup, ngram_join, secret_scan, sharding, suffix_dedup, toxicity
+from paperloom.llm import bpe, conversation_repair, cover_tree, decontamination, fill_middle, language, line_dedup, ngram_join, secret_scan, sharding, substring_dedup, suffix_dedup, toxicity
 from paperloom.llm.common import held_out, table
 from paperloom.llm.oracles import ORACLES  # noqa: F401
 
@@ -115,3 +115,10 @@ def op13_survivor_repair(spark: SparkSession, folder: str) -> DataFrame:
     empty = F.sha2(F.lit("").cast("binary"), 256)
     counts = [F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
     return whole.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", empty).alias("repaired_sha256"))
+
+
+@query
+def op11_seed_and_extend(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = substring_dedup.without_repeated_passages(docs)
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
