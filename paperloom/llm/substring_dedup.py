@@ -163,11 +163,14 @@ def repeated_windows(named: DataFrame, window: int = WINDOW, seed: int = SEED) -
     """
     runs = named.mapInArrow(_seeds(window, seed), "anchor long, span long, doc long, sign long, at int, reach int")
     runs = materialized(runs, "runs")
+    # Tables by seed are stored before they are joined: a join that shares its exchange with an aggregate cannot split a hot seed.
     met = runs.groupBy("anchor").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).where("low < high").select("anchor")
+    met = materialized(met, "seeds")
     shared = materialized(runs.join(met, "anchor", "left_semi"), "shared")
 
     classes = materialized(shared.groupBy("anchor", "span").agg(F.min("doc").alias("first")), "classes")
     several = classes.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
+    several = materialized(several, "several")
     by_class = shared.join(classes, ["anchor", "span"])
     copied = by_class.where("doc > first").select("doc", "sign", "at", "reach")
     open_ = by_class.where("doc = first").join(several, "anchor", "left_semi")
@@ -175,6 +178,7 @@ def repeated_windows(named: DataFrame, window: int = WINDOW, seed: int = SEED) -
     windows = named.join(_per_text(open_, "at", "reach", "anchor").hint("merge"), ["doc", "sign"])
     windows = materialized(windows.mapInArrow(_extend(window), "anchor long, window long, doc long, sign long, at int"), "windows")
     first = windows.groupBy("anchor", "window").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
+    first = materialized(first, "firsts")
     later = windows.join(first, ["anchor", "window"]).where("doc > first")
     return copied.unionByName(later.select("doc", "sign", "at", F.lit(1).alias("reach")))
 
