@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from contract import query, table
 from contract.similarity import FOLDS, folded
-from contract.sql import folds, greedy
+from contract.sql import folds, greedy, sampled_greedy
 from paperloom.operators import selection as se
 from paperloom.operators.folds import assign_folds
 from paperloom.operators.similarity import coverage
@@ -107,7 +107,11 @@ def facility_location_sizes(spark: SparkSession, folder: str) -> DataFrame:
     return _picks(spark, folder).select("fold", "size_no", "pick_no", "vec_id", "gain")
 
 
-@query("facility_location_stochastic")
+@query(
+    "facility_location_stochastic",
+    f"{_PICKS}, {sampled_greedy(SIZES, 0.1)} SELECT fold, size_no::INT AS size_no, pick_no::INT AS pick_no, j AS vec_id, gain"
+    " FROM sampled WHERE pick_no >= 0",
+)
 def facility_location_stochastic(spark: SparkSession, folder: str) -> DataFrame:
     return _picks(spark, folder, epsilon=0.1).select("fold", "size_no", "pick_no", "vec_id", "gain")
 

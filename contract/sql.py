@@ -1,6 +1,6 @@
 """SQL fragments that several oracles share."""
 
-from paperloom.constants import HASH_DIM, SPACE_CLASS
+from paperloom.constants import HASH_DIM, SAMPLE_PRIME, SPACE_CLASS
 
 SPACES = f"{SPACE_CLASS}+"
 
@@ -247,6 +247,41 @@ def greedy(key: str, sizes: list) -> str:
       FROM picks)"""
 
 
+def sampled_greedy(sizes: list, epsilon: float) -> str:
+    """Picks of greedy over a sample per step, from ``sims``, ``budgets``, ``candidates`` and ``folded``: (fold, size_no, pick_no, j, gain).
+
+    A step's sample is the rows with the least ``factor * code + shift`` modulo a prime; factor and shift come
+    from a digest of seed, fold, size and step, the code from a digest of the key.
+    """
+    gain = (
+        "round(list_sum(list_transform(list_zip(c.s, g.cover), lambda p: greatest(p[1] - p[2], 0.0))), 7)"
+    )
+    name = "md5('42:' || g.fold || ':' || g.size_no || ':' || (g.pick_no + 1))"
+    place = (
+        f"((code * (1 + ('0x' || substr({name}, 1, 8))::BIGINT % {SAMPLE_PRIME - 1})"
+        f" + ('0x' || substr({name}, 9, 8))::BIGINT % {SAMPLE_PRIME}) % {SAMPLE_PRIME})"
+    )
+    return f"""
+    codes AS (SELECT dataset, fold, vec_id AS j, ('0x' || substr(md5(vec_id || '-42'), 1, 8))::BIGINT % {SAMPLE_PRIME} AS code FROM folded),
+    sampled AS (
+      SELECT b.dataset, b.fold, b.size_no, b.budget, -1 AS pick_no, NULL::BIGINT AS j, NULL::DOUBLE AS gain, []::BIGINT[] AS picked,
+             greatest(1, ceil(s.fold_size::DOUBLE / b.budget::DOUBLE * ln(1.0 / {epsilon})))::BIGINT AS wanted,
+             list_transform(range(s.fold_size), lambda x: 0.0::DOUBLE) AS cover
+      FROM budgets b JOIN sized s USING (dataset, fold)
+      UNION ALL
+      SELECT dataset, fold, size_no, budget, pick_no, j, gain, picked, wanted, cover FROM (
+        SELECT g.dataset, g.fold, g.size_no, g.budget, g.pick_no + 1 AS pick_no, c.j, list_append(g.picked, c.j) AS picked, g.wanted,
+               list_transform(list_zip(c.s, g.cover), lambda p: greatest(p[1], p[2])) AS cover, {gain} AS gain,
+               row_number() OVER (PARTITION BY g.dataset, g.fold, g.size_no ORDER BY {gain} DESC, c.j) AS best
+        FROM (SELECT g.*, codes.j AS drawn,
+                     row_number() OVER (PARTITION BY g.dataset, g.fold, g.size_no ORDER BY {place}, codes.j) AS place
+              FROM sampled g JOIN codes ON codes.dataset = g.dataset AND codes.fold = g.fold
+              WHERE g.pick_no + 1 < g.budget AND NOT list_contains(g.picked, codes.j)) g
+        JOIN candidates c ON c.dataset = g.dataset AND c.fold = g.fold AND c.j = g.drawn
+        WHERE g.place <= g.wanted)
+      WHERE best = 1)"""
+
+
 # Centroid of every label: (label, v).
 CENTROIDS = """
 cells AS (

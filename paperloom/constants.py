@@ -49,5 +49,11 @@ SPACE_CLASS = "[" + "".join(f"\\x{{{ord(c):x}}}" for c in SPACES) + "]"
 # Own choices: sizes that bound what one task or the driver may hold.
 BLOCK_VECTORS = 10_000
 BLOCK_BYTES = 64 * 1024 * 1024
+# Blocks that one plan may broadcast.
+ROUND_BLOCKS = 8
 HASH_DIM = 256
+# Rows of a fold that one task may hold the vectors of.
+MAX_FOLD_ROWS = 200_000
+# The largest prime below 2 ** 31: products of two codes fit 64 bits.
+SAMPLE_PRIME = 2_147_483_647
 NORM_FLOOR = 1e-12

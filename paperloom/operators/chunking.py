@@ -1,16 +1,18 @@
 """Documents to token-limited chunks that keep their headings.
 
 Packing items into chunks is sequential inside a document. It is done on item
-sizes only: a small Arrow function reads the levels and word counts of a row's
-items and returns which word ranges form which chunk. Text never leaves the JVM,
-and no row leaves its partition.
+sizes only: an Arrow function reads the levels and word counts of the items of a whole
+batch as flat arrays and returns which word ranges form which chunk, without a loop over
+rows or items. Text never leaves the JVM, and no row leaves its partition.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_type
@@ -26,37 +28,92 @@ _LAYOUT = from_arrow_type(pa.list_(_CHUNK))
 NOT_TEXT = -1
 
 
-def _pack(levels: list, sizes: list, limit: int, merge: bool) -> list:
-    """Chunks of one document, as word ranges of its items.
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of all lists end to end, and where each list begins; null lists are empty."""
+    counts = pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False)
+    return column.flatten().to_numpy(zero_copy_only=False), np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
 
-    A heading closes the open chunk and replaces the headings of its level and
-    below. The headings' own words count against the limit.
+
+def _lists(offsets: np.ndarray, values: pa.Array) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+
+
+def _paths(levels: np.ndarray, first: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For each level, rising: the last heading of it at or before each item, and whether it is in force there.
+
+    A heading is in force until one of its level or above follows, within its document.
     """
-    chunks: list = []
-    path: list = []
-    budget = max(1, limit)
-    room = 0
-    for item, (level, size) in enumerate(zip(levels, sizes)):
-        if level > 0:
-            path = [h for h in path if levels[h] < level] + [item]
-            budget = max(1, limit - sum(sizes[h] for h in path))
-            room = 0
-        elif level == 0:
-            for start in range(0, size, budget):
-                span = {"item": item, "start": start, "size": min(budget, size - start)}
-                if merge and span["size"] <= room:
-                    chunks[-1]["spans"].append(span)
-                else:
-                    chunks.append({"spans": [span], "headings": path})
-                    room = budget
-                room -= span["size"]
-    return chunks
+    at = np.arange(len(levels))
+    last, holds = [], []
+    for level in np.unique(levels[levels > 0]):
+        same = np.maximum.accumulate(np.where(levels == level, at, -1))
+        above = np.maximum.accumulate(np.where((levels > 0) & (levels <= level), at, -1))
+        last.append(same)
+        holds.append((same >= first) & (same == above))
+    return last, holds
+
+
+def _reached(marked: np.ndarray, following: np.ndarray) -> np.ndarray:
+    """Places reached from the marked ones by any number of jumps, in rounds that double the jumps."""
+    jump = np.append(following, len(following))
+    marked = np.append(marked, False)
+    while True:
+        before = marked.copy()
+        marked[jump[np.flatnonzero(marked)]] = True
+        marked[-1] = False
+        if (marked == before).all():
+            return marked[:-1]
+        jump = jump[jump]
+
+
+def pack(levels: pa.Array, sizes: pa.Array, limits: np.ndarray, merge: np.ndarray) -> pa.Array:
+    """Chunks of a batch of documents, as word ranges of their items.
+
+    A heading closes the open chunk and replaces the headings of its level and below. The headings' own words
+    count against the limit. Items are cut into pieces that fit; running sums of the pieces of a section
+    say where a chunk that begins at a piece has to end, and chunks are what jumps from end to end reach.
+    """
+    level, rows = _flat(levels)
+    size = _flat(sizes)[0].astype(np.int64)
+    count = np.diff(rows)
+    owner = np.repeat(np.arange(len(count)), count)
+    first = rows[owner]
+    last, holds = _paths(level, first)
+    taken = sum((np.where(h, size[at], 0) for at, h in zip(last, holds)), np.zeros(len(level), np.int64))
+    budget = np.maximum(1, limits[owner] - taken)
+    opening = level > 0
+    opening[rows[:-1][count > 0]] = True
+    section = np.cumsum(opening)
+
+    texts = np.flatnonzero(level == 0)
+    pieces = -(-size[texts] // budget[texts])
+    item = np.repeat(texts, pieces)
+    start = (np.arange(len(item)) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * budget[item]
+    words_of = np.minimum(budget[item], size[item] - start)
+    sums = np.concatenate([[0], np.cumsum(words_of)])
+    own = section[item]
+    full = np.searchsorted(sums, sums[:-1] + budget[item], side="right") - 1
+    following = np.where(merge[owner[item]], np.minimum(full, np.searchsorted(own, own, side="right")), np.arange(len(item)) + 1)
+    opens = np.ones(len(item), bool)
+    opens[1:] = own[1:] != own[:-1]
+    begin = np.flatnonzero(_reached(opens, following))
+
+    spans = pa.StructArray.from_arrays(
+        [pa.array(x, pa.int32()) for x in (item - first[item], start, words_of)], fields=list(_SPAN)
+    )
+    held = item[begin]
+    inside = np.array([h[held] for h in holds], bool).reshape(len(holds), len(held)).T
+    heading = np.array([at[held] - first[held] for at in last], np.int64).reshape(len(last), len(held)).T
+    ends = np.concatenate([[0], np.cumsum(inside.sum(axis=1))])
+    chunks = pa.StructArray.from_arrays(
+        [_lists(np.append(begin, len(item)), spans), _lists(ends, pa.array(heading[inside], pa.int32()))], fields=list(_CHUNK)
+    )
+    return _lists(np.searchsorted(owner[held], np.arange(len(count) + 1)), chunks)
 
 
 @F.arrow_udf(_LAYOUT)
 def _layout(levels: pa.Array, sizes: pa.Array, limit: pa.Array, merge: pa.Array) -> pa.Array:
-    rows = zip(levels.to_pylist(), sizes.to_pylist(), limit.to_pylist(), merge.to_pylist())
-    return pa.array([_pack(*row) for row in rows], type=pa.list_(_CHUNK))
+    return pack(levels, sizes, limit.to_numpy(zero_copy_only=False), merge.to_numpy(zero_copy_only=False))
 
 
 def _chunk_struct(layout: Column) -> Column:

@@ -55,7 +55,8 @@ def assign_folds(
 
     There are ``num_folds`` folds, or, where ``rows_per_fold`` is given, as many as keep
     every fold within that number of rows. The table is read twice: its keys for the
-    counts, and whole, moving once to its buckets.
+    counts, and whole, moving once to its buckets. A key that occurs twice in a group, null
+    included, is an error: its rows could be in two folds.
     """
     if num_folds < 1 or (rows_per_fold is not None and rows_per_fold < 1):
         raise ValueError("at least one fold and one row per fold are needed")
@@ -77,7 +78,11 @@ def assign_folds(
         .withColumn("_folds", fold_count(F.col("total"), num_folds, rows_per_fold))
     )
     inside = Window.partitionBy(*groups, "_bucket").orderBy("_digest", key)
-    position = F.col("_start") + F.row_number().over(inside) - 1
+    # Equal keys have equal digests, so they follow each other in a bucket.
+    repeated = (F.row_number().over(inside) > 1) & F.lag(key).over(inside).eqNullSafe(F.col(key))
+    message = F.concat(F.lit(f"column {key} repeats values within a dataset: "), F.coalesce(F.col(key).cast("string"), F.lit("null")))
+    place = F.col("_start") + F.row_number().over(inside) - 1
+    position = F.when(repeated, F.raise_error(message).cast("long")).otherwise(place)
     return (
         df.withColumn("_digest", digest)
         .withColumn("_bucket", bucket)

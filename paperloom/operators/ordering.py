@@ -11,8 +11,8 @@ from paperloom.session import materialized
 
 
 def shuffle_hash(key: str, seed: int) -> Column:
-    """Seeded, engine-independent shuffle order of a key."""
-    return F.md5(F.concat(F.col(key).cast("string"), F.lit(f"-{seed}")))
+    """Seeded, engine-independent shuffle order of a key; a null key counts as empty text."""
+    return F.md5(F.concat(F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(f"-{seed}")))
 
 
 def range_positions(

@@ -2,21 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paperloom import constants as C
-from paperloom.functions.vectors import as_matrix, is_finite, norm, typed_table, unit_rows
-from paperloom.operators.bounded import broadcast_if_small, vector_blocks
+from paperloom.functions.vectors import as_lists, as_matrix, is_finite, norm, typed_table, unit_rows
+from paperloom.operators.bounded import VectorBlocks, broadcast_if_small, in_rounds
 from paperloom.operators.ordering import top_per_key
 from paperloom.session import materialized
 
@@ -41,22 +42,19 @@ class _Best:
         self.score = np.empty(0)
         self.key: np.ndarray | None = None
 
-    def add(self, keys: np.ndarray, scores: np.ndarray, asking: np.ndarray | None = None) -> None:
-        """Take in a block of scores, one row per key and one column per query of ``asking`` (default: all)."""
-        if asking is None:
-            asking = np.arange(len(self.floor))
+    def add(self, keys: np.ndarray, scores: np.ndarray) -> None:
+        """Take in a block of scores, one row per key and one column per query."""
         # A vector with an undefined element is no candidate and must not raise the floor.
         scores = np.where(np.isfinite(scores), scores, -np.inf)
         if len(keys) > self.k:
             kth = np.partition(scores, len(keys) - self.k, axis=0)[len(keys) - self.k]
-            floor = np.maximum(self.floor[asking], kth)
+            floor = np.maximum(self.floor, kth)
         else:
-            floor = self.floor[asking]
-        row, column = np.nonzero((scores >= floor) & np.isfinite(scores))
-        query = asking[column]
+            floor = self.floor
+        row, query = np.nonzero((scores >= floor) & np.isfinite(scores))
         key = keys[row] if self.key is None else np.concatenate([self.key, keys[row]])
         query_all = np.concatenate([self.query, query])
-        score = np.concatenate([self.score, scores[row, column]])
+        score = np.concatenate([self.score, scores[row, query]])
         order = np.lexsort((key, -score, query_all))
         sorted_query = query_all[order]
         first = np.searchsorted(sorted_query, sorted_query, side="left")
@@ -103,61 +101,38 @@ def topk_search(
 
     Scores are rounded to six digits, ties go to the smaller key. Queries are shipped to
     the tasks in blocks of a fixed size; for each block the corpus is scanned in place, and
-    a partition passes on at most ``k`` rows per query. Keys and query keys are unique.
+    a partition passes on at most ``k`` rows per query. Blocks go in rounds, whose hits are
+    stored where there are several (see :func:`in_rounds`). Keys and query keys are unique.
     """
     if k < 1:
         raise ValueError("k must be at least 1")
     rows = corpus.select(key, vector).filter(F.col(vector).isNotNull())
     schema = _hit_type(corpus, key, queries, query_key)
-    found = [
-        _scan(rows, names, unit_rows(matrix), k, schema)
-        for names, matrix in vector_blocks(queries, query_key, query_vector, block_queries)
-    ]
-    return _rank(reduce(DataFrame.unionByName, found), key, query_key, k)
-
-
-def _scan(
-    rows: DataFrame,
-    names: list,
-    asked_units: np.ndarray,
-    k: int,
-    schema: T.StructType,
-    probed: np.ndarray | None = None,
-) -> DataFrame:
-    """The best ``k`` rows of every partition for every query of a block.
+    blocks = VectorBlocks(queries, query_key, query_vector, block_queries)
 
-    With ``probed`` (queries x cells) the rows' third column is their cell, and rows are
-    compared with the queries that probe it, with no others.
-    """
-    shared = rows.sparkSession.sparkContext.broadcast((names, asked_units, probed))
-
-    def groups(part: pa.RecordBatch) -> Iterator[tuple[np.ndarray | slice, np.ndarray]]:
-        """Row numbers and the query numbers that they meet."""
-        ids, _, cells_of = shared.value
-        if cells_of is None:
-            yield slice(None), np.arange(len(ids))
-            return
-        cell = part.column(2).to_numpy(zero_copy_only=False)
-        for number in np.unique(cell):
-            yield np.flatnonzero(cell == number), np.flatnonzero(cells_of[:, number])
-
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids, units_asked, _ = shared.value
-        if not ids:
-            return
-        best = _Best(len(ids), k)
-        step = max(1, _BLOCK_CELLS // len(ids))
-        for batch in batches:
-            for start in range(0, batch.num_rows, step):
-                part = batch.slice(start, step)
-                units = unit_rows(as_matrix(part.column(1)))
-                keys = _keys(part.column(0))
-                for chosen, asking in groups(part):
-                    scores = np.round(units[chosen] @ units_asked[asking].T, SCORE_DIGITS)
-                    best.add(keys[chosen], scores, asking)
-        yield from best.table(ids, schema).to_batches()
-
-    return rows.mapInArrow(scan, schema)
+    def scan(shared: Broadcast) -> DataFrame:
+        return rows.mapInArrow(partial(_scan, shared, k, schema), schema)
+
+    return in_rounds(corpus.sparkSession, blocks, scan, "hits", lambda found: _rank(found, key, query_key, k))
+
+
+def _scan(shared: Broadcast, k: int, schema: T.StructType, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The best ``k`` rows of a partition for every query of a block."""
+    names, matrix = shared.value
+    if names:
+        yield from _best_rows(batches, names, unit_rows(matrix), k, schema).to_batches()
+
+
+def _best_rows(batches: Iterable[pa.RecordBatch], names: list, asked: np.ndarray, k: int, schema: T.StructType) -> pa.Table:
+    """The best ``k`` of the rows (key, vector) for every query, in blocked products."""
+    best = _Best(len(names), k)
+    step = max(1, _BLOCK_CELLS // len(names))
+    for batch in batches:
+        for start in range(0, batch.num_rows, step):
+            part = batch.slice(start, step)
+            scores = unit_rows(as_matrix(part.column(1))) @ asked.T
+            best.add(_keys(part.column(0)), np.round(scores, SCORE_DIGITS))
+    return best.table(names, schema)
 
 
 def with_hit_fields(hits: DataFrame, corpus: DataFrame, key: str, *fields: str) -> DataFrame:
@@ -190,6 +165,17 @@ class CellIndex:
 
         return df.filter(F.col(vector).isNotNull()).withColumn(output, nearest(F.col(vector)))
 
+    def nearest(self, spark: SparkSession, probes: int) -> Callable[[Column], Column]:
+        """The ``probes`` cells whose centres have the highest cosine with a vector, the lesser cell first where they are equal."""
+        shared = spark.sparkContext.broadcast(unit_rows(self.centres))
+
+        @F.arrow_udf(T.ArrayType(T.IntegerType()))
+        def cells(vectors: pa.Array) -> pa.Array:
+            near = np.argsort(-(unit_rows(as_matrix(vectors)) @ shared.value.T), axis=1, kind="stable")[:, :probes]
+            return as_lists(near.astype(np.int32), pa.int32())
+
+        return cells
+
 
 def build_cells(
     df: DataFrame,
@@ -220,24 +206,49 @@ def cell_search(
     query_vector: str = "embedding",
     cell: str = "cell",
     block_queries: int = C.BLOCK_VECTORS,
+    block_rows: int = C.BLOCK_VECTORS,
 ) -> DataFrame:
     """Top ``k`` among the rows of each query's ``probes`` nearest cells.
 
-    Queries are shipped in blocks of a fixed size. For a block only the cells that some
-    query probes are read, which prunes partitions when the table is stored by cell, and a
-    row meets only the queries that probe its cell. With as many probes as cells the
-    result is the exact one.
+    Queries are exploded to the cells that they probe and meet the rows by an equi-join on the cell, in one plan for
+    any number of queries. Only cells that some query probes are read, which prunes partitions when the table is
+    stored by cell. The rows of a cell are dealt over groups of about ``block_rows``, its queries over groups of about
+    ``block_queries``, so that a hot cell is many tasks. With as many probes as cells the result is the exact one.
     """
+    if k < 1 or probes < 1:
+        raise ValueError("k and probes must be at least 1")
+    spark = indexed.sparkSession
     schema = _hit_type(indexed, key, queries, query_key)
-    centres = unit_rows(index.centres)
-    found = []
-    for names, matrix in vector_blocks(queries, query_key, query_vector, block_queries):
-        asked_units = unit_rows(matrix)
-        to_centres = asked_units @ centres.T
-        order = np.argsort(-to_centres, axis=1, kind="stable")[:, :probes]
-        probed = np.zeros(to_centres.shape, dtype=bool)
-        np.put_along_axis(probed, order, True, axis=1)
-        wanted = [int(c) for c in np.flatnonzero(probed.any(axis=0))]
-        rows = indexed.filter(F.col(cell).isin(wanted)).select(key, vector, cell)
-        found.append(_scan(rows, names, asked_units, k, schema, probed))
-    return _rank(reduce(DataFrame.unionByName, found), key, query_key, k)
+    asked = queries.select(query_key, query_vector).filter(F.col(query_vector).isNotNull())
+    near = F.explode(index.nearest(spark, probes)(F.col(query_vector))).alias("_cell")
+    probed = materialized(asked.select(F.col(query_key).alias("_query"), F.col(query_vector).alias("_asked"), near), "probes")
+
+    # One row per centre at most, and the index holds the centres in the driver.
+    asking = {row["_cell"]: row["count"] for row in probed.groupBy("_cell").count().collect()}
+    rows = indexed.filter(F.col(cell).isin(sorted(asking)) & F.col(vector).isNotNull())
+    rows = rows.select(F.col(key).alias("_key"), F.col(vector).alias("_vector"), F.col(cell).alias("_cell"))
+    there = {row["_cell"]: row["count"] for row in rows.groupBy("_cell").count().collect()}
+    dealt = [(c, -(-n // block_rows), -(-asking[c] // block_queries)) for c, n in there.items()]
+    parts = F.broadcast(spark.createDataFrame(dealt, "_cell int, _row_parts long, _query_parts long"))
+
+    def every(parts: str) -> Column:
+        return F.explode(F.sequence(F.lit(0).cast("long"), F.col(parts) - 1))
+
+    def one_of(name: str, parts: str) -> Column:
+        return F.pmod(F.xxhash64(name), F.col(parts))
+
+    group = ["_cell", "_row_part", "_query_part"]
+    left = rows.join(parts, "_cell").withColumn("_row_part", one_of("_key", "_row_parts"))
+    left = left.select("_key", "_vector", "_cell", "_row_part", every("_query_parts").alias("_query_part"))
+    right = probed.join(parts, "_cell").withColumn("_query_part", one_of("_query", "_query_parts"))
+    right = right.select("_query", "_asked", "_cell", "_query_part", every("_row_parts").alias("_row_part"))
+
+    def meet(near_rows: pa.Table, near_queries: pa.Table) -> pa.Table:
+        if not near_rows.num_rows or not near_queries.num_rows:
+            return typed_table({name: [] for name in schema.names}, schema)
+        units = unit_rows(as_matrix(near_queries.column("_asked")))
+        batches = near_rows.select(["_key", "_vector"]).to_batches()
+        return _best_rows(batches, near_queries.column("_query").to_pylist(), units, k, schema)
+
+    found = left.groupBy(*group).cogroup(right.groupBy(*group)).applyInArrow(meet, schema)
+    return _rank(found, key, query_key, k)

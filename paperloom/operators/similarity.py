@@ -1,14 +1,14 @@
 """Similarity inside folds and against a reference set.
 
-A fold is a bounded slice (see :mod:`paperloom.operators.folds`), so its matrix fits
-one task and the cost over all folds grows with the rows. Matrices are built and
-used inside the task; only what a reducer makes of them leaves it.
+A fold is a bounded slice (see :mod:`paperloom.operators.folds`), so its vectors fit
+one task and the cost over all folds grows with the rows. Matrices are made and used block by
+block inside the task; only what a reducer makes of them leaves it.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import partial, reduce
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from paperloom import constants as C
 from paperloom.functions.vectors import as_matrix, output_type, typed_table, unit_rows
-from paperloom.operators.bounded import vector_blocks
+from paperloom.operators.bounded import VectorBlocks, in_rounds
 
 _BLOCK_CELLS = 4_000_000
 
@@ -66,29 +66,65 @@ def scale(values: np.ndarray, scaling: str | None, low: float, high: float) -> n
     return values
 
 
-def row_profiles(keys: np.ndarray, matrix: np.ndarray) -> dict:
+class FoldSimilarity:
+    """The similarity matrix of one set of points, a block of rows at a time.
+
+    The mean squared distance for ``rbf`` and the extremes for ``min-max`` belong to the whole matrix and take
+    a pass over its blocks each. A block has a bounded number of values, so memory grows with the points
+    and not with their square.
+    """
+
+    def __init__(self, vectors: np.ndarray, metric: str, scaling: str | None = None, width: float = C.RBF_WIDTH) -> None:
+        # Cosine is the dot product of units, which are made once.
+        self.points = unit_rows(vectors) if metric == "cosine" else vectors
+        self.metric, self.scaling, self.width = "dot" if metric == "cosine" else metric, scaling, width
+        self.mean: float | None = None
+        self.low, self.high = 0.0, 0.0
+        if metric == "rbf":
+            self.mean = sum(squared_distances(part, self.points).sum() for _, part in self._parts()) / max(1, len(vectors)) ** 2
+        if scaling == "min-max":
+            extremes = [(raw.min(), raw.max()) for raw in map(self._raw, (part for _, part in self._parts()))]
+            self.low, self.high = min(x[0] for x in extremes), max(x[1] for x in extremes)
+
+    def _parts(self, columns: int | None = None) -> Iterator[tuple[int, np.ndarray]]:
+        step = max(1, _BLOCK_CELLS // max(1, columns or len(self.points)))
+        for start in range(0, len(self.points), step):
+            yield start, self.points[start : start + step]
+
+    def _raw(self, part: np.ndarray, columns: np.ndarray | None = None) -> np.ndarray:
+        return similarity(part, self.points if columns is None else columns, self.metric, self.width, self.mean)
+
+    def blocks(self, columns: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray]]:
+        """First row and values of every block of rows, for all columns or the given ones."""
+        chosen = None if columns is None else self.points[columns]
+        for start, part in self._parts(None if columns is None else len(columns)):
+            yield start, scale(self._raw(part, chosen), self.scaling, self.low, self.high)
+
+
+def row_profiles(keys: np.ndarray, matrix: FoldSimilarity) -> dict:
     """What each row of a fold's matrix looks like: extremes, total and nearest other row.
 
-    A row alone in its fold has no nearest row.
+    Keys are in order, so that the first of equal rows has the smallest. A row alone in its fold has no nearest row.
     """
-    others = np.round(matrix, 6)
-    np.fill_diagonal(others, -np.inf)
-    by_key = np.argsort(keys, kind="stable")
-    nearest = by_key[np.argmax(others[:, by_key], axis=1)]
-    alone = len(keys) == 1
-    return {
-        "n": np.full(len(keys), len(keys)),
-        "sim_min": matrix.min(axis=1),
-        "sim_max": matrix.max(axis=1),
-        "sim_sum": matrix.sum(axis=1),
-        "nearest": [None] if alone else keys[nearest],
-        "nearest_sim": [None] if alone else others[np.arange(len(keys)), nearest],
-    }
+    parts: dict[str, list] = {name: [] for name in ("sim_min", "sim_max", "sim_sum", "place", "nearest_sim")}
+    for start, values in matrix.blocks():
+        rows = np.arange(len(values))
+        parts["sim_min"].append(values.min(axis=1))
+        parts["sim_max"].append(values.max(axis=1))
+        parts["sim_sum"].append(values.sum(axis=1))
+        others = np.round(values, 6)
+        others[rows, start + rows] = -np.inf
+        parts["place"].append(np.argmax(others, axis=1))
+        parts["nearest_sim"].append(others[rows, parts["place"][-1]])
+    found = {name: np.concatenate(blocks) for name, blocks in parts.items()}
+    place = found.pop("place")
+    alone = {"nearest": [None], "nearest_sim": [None]} if len(keys) == 1 else {"nearest": keys[place]}
+    return {"n": np.full(len(keys), len(keys))} | found | alone
 
 
 def per_fold(
     folded: DataFrame,
-    reduce: Callable[[pa.Table, np.ndarray], dict],
+    reduce: Callable[[pa.Table, FoldSimilarity], dict],
     schema: T.StructType,
     key: str,
     vector: str,
@@ -98,17 +134,16 @@ def per_fold(
     extra: tuple[str, ...] = (),
     groups: tuple[str, ...] = ("dataset",),
 ) -> DataFrame:
-    """Apply ``reduce(rows, matrix)`` to every fold, rows sorted by key.
+    """Apply ``reduce(rows, similarity)`` to every fold, rows sorted by key.
 
-    It returns the columns of ``schema``.
+    It returns the columns of ``schema``. A fold is one task that holds the fold's vectors and one
+    block of similarities.
     """
     check_metric(metric, scaling)
 
     def task(rows: pa.Table) -> pa.Table:
         rows = rows.sort_by(key)
-        vectors = as_matrix(rows.column(vector))
-        matrix = similarity(vectors, vectors, metric, width)
-        matrix = scale(matrix, scaling, matrix.min(), matrix.max())
+        matrix = FoldSimilarity(as_matrix(rows.column(vector)), metric, scaling, width)
         return typed_table(reduce(rows, matrix), schema)
 
     needed = folded.select(*groups, "fold", key, vector, *extra).filter(F.col(vector).isNotNull())
@@ -125,7 +160,7 @@ def fold_profiles(
 ) -> DataFrame:
     """Profile of every row within its fold's similarity matrix."""
 
-    def reduce(rows: pa.Table, matrix: np.ndarray) -> dict:
+    def reduce(rows: pa.Table, matrix: FoldSimilarity) -> dict:
         keys = rows.column(key).to_numpy()
         columns = {"dataset": rows.column("dataset"), "fold": rows.column("fold"), key: keys}
         return columns | row_profiles(keys, matrix)
@@ -156,10 +191,11 @@ def coverage(
     """Facility-location value of selected sets: the sum over all rows of a fold of the
     highest scaled similarity to a selected row.
 
-    ``member_of`` names the set that a row is selected for; NULL means not selected.
+    ``member_of`` names the set that a row is selected for; NULL means not selected. Rows are compared with the
+    members of a set only.
     """
 
-    def reduce(rows: pa.Table, matrix: np.ndarray) -> dict:
+    def reduce(rows: pa.Table, matrix: FoldSimilarity) -> dict:
         sets = rows.column(member_of).combine_chunks()
         names = sets.drop_null().unique()
         picked = [
@@ -170,7 +206,7 @@ def coverage(
             "dataset": rows.column("dataset").to_pylist()[:1] * len(names),
             "fold": rows.column("fold").to_pylist()[:1] * len(names),
             member_of: names,
-            "coverage": [matrix[:, members].max(axis=1).sum() for members in picked],
+            "coverage": [sum(values.max(axis=1).sum() for _, values in matrix.blocks(members)) for members in picked],
         }
 
     schema = output_type(
@@ -195,22 +231,19 @@ def nearest_reference(
 ) -> DataFrame:
     """Similarity of a table's rows to a reference set, as a profile per row; keys are unique.
 
-    References are shipped to the tasks in blocks of a fixed size, and for each block the
-    table is scanned in place; the profiles of a row, not its vector, then meet by key.
+    References are shipped to the tasks in blocks of a fixed size, one after the other: for each block the
+    table is scanned in place, the profiles are appended to a stored table and the block is dropped. So neither the
+    plan nor the driver grows with the references. The profiles of a row, not its vector, then meet by key.
     Ties go to the smaller reference. Statistics of the whole matrix (the mean squared
-    distance for ``rbf``, the extremes for ``min-max``) come from one more aggregate over it.
+    distance for ``rbf``, the extremes for ``min-max``) come from one more round over it.
     """
     check_metric(metric, scaling)
-    context = df.sparkSession.sparkContext
-    shared = [
-        context.broadcast((np.asarray(names), matrix))
-        for names, matrix in vector_blocks(references, reference_key, vector, block_references)
-    ]
+    blocks = VectorBlocks(references, reference_key, vector, block_references)
     rows = df.select(key, vector).filter(F.col(vector).isNotNull())
 
     def scan(emit, schema) -> DataFrame:
         """``emit`` applied to every block of rows beside every block of references."""
-        return reduce(DataFrame.unionByName, [rows.mapInArrow(partial(_beside, part, emit), schema) for part in shared])
+        return in_rounds(df.sparkSession, blocks, lambda shared: rows.mapInArrow(partial(_beside, shared, emit), schema), "profiles")
 
     mean = None
     if metric == "rbf":
@@ -267,6 +300,7 @@ def nearest_reference(
 def _beside(shared, emit, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """What ``emit`` makes of keys, vectors and a block of references, slice by slice."""
     names, matrix = shared.value
+    names = np.asarray(names)
     if not len(names):
         return
     step = max(1, _BLOCK_CELLS // len(names))
