@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from contract import query, spread_table, table
 from contract.sql import DEFAULT_SETTING, ITEMS, NAMED_PAGES, PACKED, pieces, words
+from paperloom.config import ConvertConfig
 from paperloom.functions.images import picture_markdown
 from paperloom.operators import chunking as ch
 from paperloom.operators.confidence import document_confidence, low_pages, rollup, text_score
@@ -18,6 +19,7 @@ from paperloom.operators.convert import (
     rejects,
     shared_stems,
 )
+from paperloom.plans.retrieval import export_corpus
 
 SPLIT_TOKENS = 48
 _SPLIT = f"('split', {SPLIT_TOKENS}, false)"
@@ -56,6 +58,27 @@ def doc_markdown(spark: SparkSession, folder: str) -> DataFrame:
     return export_documents(documents(spark, folder)).select("doc_id", "stem", "md")
 
 
+@query(
+    "embedded_pictures",
+    f"""WITH {ITEMS}, shown AS (
+      SELECT * REPLACE (CASE WHEN label = 'picture' AND length(text) % 2 = 1
+             THEN 'data:image/png;base64,' || to_base64(encode(upper(text))) ELSE text END AS text) FROM items),
+    {_MARKDOWN.replace("FROM items", "FROM shown")}, counted AS (
+      SELECT page_id, count(*) FILTER (label = 'picture' AND length(text) % 2 = 1)::INT AS n_images FROM items GROUP BY page_id)
+    SELECT page_id AS doc_id, md, n_images FROM marked JOIN counted USING (page_id)""",
+)
+def embedded_pictures(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents that hold the bytes of those pictures that have some, in Markdown and in JSON."""
+    pages = spread_table(spark, folder, "pages", "page_id")
+    address = F.col("text")
+    pictures = item_rows(documents(spark, folder)).filter((F.col("label") == "picture") & (F.length(address) % 2 == 1))
+    pictures = pictures.select(address.alias("uri"), F.encode(F.upper(address), "UTF-8").alias("content")).distinct()
+    shown = export_corpus(pages, ConvertConfig("embedded"), pictures)
+    items = F.from_json("json", "items array<struct<image:string>>")["items"]
+    n_images = F.size(F.filter(items, lambda item: item["image"].isNotNull()))
+    return shown.select("doc_id", "md", n_images.alias("n_images"))
+
+
 @query(
     "doc_json",
     f"""WITH {ITEMS}, {NAMED_PAGES}, lists AS (

@@ -7,15 +7,19 @@ from pyspark.sql import functions as F
 
 from contract import query, spread_table, table
 from contract.conversion import documents
-from contract.sql import DEFAULT_SETTING, ITEMS, PACKED, hashed, pieces, sparse_text
+from contract.sql import DEFAULT_SETTING, ITEMS, PACKED, hashed, pieces, sparse_text, words
 from paperloom.functions.vectors import l2_normalize
 from paperloom.operators.chunking import chunk_documents
 from paperloom.operators.embedding import (
+    ENCODERS,
+    batch_encoder,
     content_key,
     current_vectors,
     dimension_counts,
     embed,
     embed_missing,
+    get_encoder,
+    hashing_encoder,
 )
 from paperloom.session import scratch_path
 from paperloom.sources.stores import append_vectors, read_vectors
@@ -55,6 +59,36 @@ def chunk_embeddings(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query(
+    "embed_truncated",
+    f"""WITH cut AS (SELECT doc_id, array_to_string({words("text")}[1:16], ' ') AS text FROM documents),
+    {hashed("cut", "doc_id", "text", "d")} {sparse_text("cut", "doc_id", "d")}""",
+)
+def embed_truncated(spark: SparkSession, folder: str) -> DataFrame:
+    """An encoder that takes 16 words at most."""
+    docs = spread_table(spark, folder, "documents", "doc_id").select("doc_id", "text")
+    return embed(docs, encoder=hashing_encoder(max_tokens=16)).select("doc_id", vector_text(F.col("embedding")).alias("vector"))
+
+
+def _letter_model():
+    """A model of one's own: how long a text is, and how many letters e it has."""
+    import numpy as np
+
+    return lambda texts: np.array([[len(t), t.count("e")] for t in texts.reshape(-1)], dtype=np.float32)
+
+
+@query(
+    "embed_user_model",
+    "SELECT doc_id, length(text)::INT AS chars, (length(text) - length(replace(text, 'e', '')))::INT AS letters FROM documents",
+)
+def embed_user_model(spark: SparkSession, folder: str) -> DataFrame:
+    """A user's model that takes small batches, chosen by name."""
+    known = ENCODERS | {"letters": lambda: batch_encoder(_letter_model, batch_size=7)}
+    docs = spread_table(spark, folder, "documents", "doc_id").select("doc_id", "text")
+    vectors = embed(docs, encoder=get_encoder("letters", known))
+    return vectors.select("doc_id", *[F.col("embedding")[i].cast("int").alias(n) for i, n in enumerate(("chars", "letters"))])
+
+
 @query("embed_incremental", _DOCUMENT_VECTORS)
 def embed_incremental(spark: SparkSession, folder: str) -> DataFrame:
     """Labelled documents are embedded first, then whatever the store lacks."""

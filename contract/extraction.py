@@ -13,24 +13,32 @@ from paperloom.operators.extraction import extract_fields, json_finders, pattern
 
 
 @dataclass(frozen=True)
-class PageLink:
-    """Where a page lives; only the number of the article is always expected."""
+class PageAddress:
+    """Parts of an address; host and language are always expected."""
 
-    article: int
-    page: float = 10.0
-    campaign: Optional[str] = None
+    host: str
+    language: str
+    article: Optional[int] = None
+    first: bool = False
+    campaign: str = "none"
 
 
 PATTERNS = {
+    "host": r"^https?://([^/?#]+)",
+    "language": r"^https?://[^/]+/([a-z]+)/",
     "article": r"/(\d+)(?:[/.?#]|$)",
-    "page": r"[?&]page=([0-9.]+)",
+    "first": r"[?&]page=([01])(?:[&#]|$)",
     "campaign": r"[?&]utm_source=([^&#]*)",
 }
+LINK = {"article": PATTERNS["article"], "page": r"[?&]page=([0-9.]+)"}
 
 _FOUND = r"""
 found AS (
   SELECT page_id, TRY_CAST(nullif(regexp_extract(url, '/(\d+)(?:[/.?#]|$)', 1), '') AS BIGINT) AS article,
          TRY_CAST(nullif(regexp_extract(url, '[?&]page=([0-9.]+)', 1), '') AS DOUBLE) AS page,
+         CASE WHEN regexp_matches(url, '^https?://([^/?#]+)') THEN regexp_extract(url, '^https?://([^/?#]+)', 1) END AS host,
+         CASE WHEN regexp_matches(url, '^https?://[^/]+/([a-z]+)/') THEN regexp_extract(url, '^https?://[^/]+/([a-z]+)/', 1) END AS language,
+         CASE regexp_extract(url, '[?&]page=([01])(?:[&#]|$)', 1) WHEN '1' THEN true WHEN '0' THEN false END AS first,
          CASE WHEN regexp_matches(url, '[?&]utm_source=([^&#]*)')
               THEN regexp_extract(url, '[?&]utm_source=([^&#]*)', 1) END AS campaign
   FROM pages)"""
@@ -56,27 +64,28 @@ def extract_string_template(spark: SparkSession, folder: str) -> DataFrame:
     f"WITH {_FOUND} SELECT page_id, article, page, '' AS missing_fields FROM found",
 )
 def extract_dict_template(spark: SparkSession, folder: str) -> DataFrame:
-    finders = pattern_finders(F.col("url"), {k: PATTERNS[k] for k in ("article", "page")})
+    finders = pattern_finders(F.col("url"), LINK)
     template = {"article": "int", "page": "float"}
     return _text_missing(extract_fields(table(spark, folder, "pages"), template, finders, "page_id"))
 
 
 @query(
     "extract_model_template",
-    f"""WITH {_FOUND} SELECT page_id, article, coalesce(page, 10) AS page, campaign,
-           CASE WHEN article IS NULL THEN 'article' ELSE '' END AS missing_fields FROM found""",
+    f"""WITH {_FOUND} SELECT page_id, host, language, article, coalesce(first, false) AS first, coalesce(campaign, 'none') AS campaign,
+           concat_ws(',', CASE WHEN host IS NULL THEN 'host' END, CASE WHEN language IS NULL THEN 'language' END) AS missing_fields
+    FROM found""",
 )
 def extract_model_template(spark: SparkSession, folder: str) -> DataFrame:
     finders = pattern_finders(F.col("url"), PATTERNS)
-    return _text_missing(extract_fields(table(spark, folder, "pages"), PageLink, finders, "page_id"))
+    return _text_missing(extract_fields(table(spark, folder, "pages"), PageAddress, finders, "page_id"))
 
 
 @query(
     "extract_instance_template",
-    f"""WITH {_FOUND} SELECT page_id, coalesce(article, 0) AS article, coalesce(page, 1) AS page,
-           coalesce(campaign, 'direct') AS campaign, '' AS missing_fields FROM found""",
+    f"""WITH {_FOUND} SELECT page_id, coalesce(host, 'localhost') AS host, coalesce(language, 'xx') AS language,
+           coalesce(article, -1) AS article, coalesce(first, true) AS first, coalesce(campaign, '') AS campaign, '' AS missing_fields FROM found""",
 )
 def extract_instance_template(spark: SparkSession, folder: str) -> DataFrame:
     finders = pattern_finders(F.col("url"), PATTERNS)
-    template = PageLink(article=0, page=1.0, campaign="direct")
+    template = PageAddress("localhost", "xx", -1, True, "")
     return _text_missing(extract_fields(table(spark, folder, "pages"), template, finders, "page_id"))

@@ -9,7 +9,9 @@ from contract import query, table
 from contract.similarity import FOLDS, folded
 from contract.sql import folds, greedy, sampled_greedy
 from paperloom.operators import selection as se
+from paperloom.functions.sizes import parse_sizes
 from paperloom.operators.folds import assign_folds
+from paperloom.operators.ordering import range_positions
 from paperloom.operators.similarity import coverage
 from paperloom.session import scratch_path
 from paperloom.sources.datasets import concat_datasets
@@ -46,6 +48,32 @@ def subset_sizes(spark: SparkSession, folder: str) -> DataFrame:
     return se.subset_sizes(_totals(spark, folder), RESOLVED_SIZES)
 
 
+@query(
+    "size_list",
+    f"""WITH {_TOTALS}
+    SELECT dataset, n, 'percent_0.5' AS size_spec, greatest(1, floor(0.5::DOUBLE * n))::BIGINT AS n_subset FROM totals
+    UNION ALL SELECT dataset, n, 'samples_25', least(25, n)::BIGINT FROM totals""",
+)
+def size_list(spark: SparkSession, folder: str) -> DataFrame:
+    """Sizes as a command line gives them."""
+    return se.subset_sizes(_totals(spark, folder), parse_sizes(" 0.5 ,25"))
+
+
+@query(
+    "skipped_datasets",
+    """SELECT dataset, count(*) AS rows FROM (
+         SELECT label::VARCHAR AS dataset, dense_rank() OVER (ORDER BY label) % 2 AS odd FROM embeddings)
+       WHERE odd = 0 GROUP BY dataset""",
+)
+def skipped_datasets(spark: SparkSession, folder: str) -> DataFrame:
+    """Every second label has lost its vectors."""
+    vectors = table(spark, folder, "embeddings")
+    labels = vectors.select("label").distinct()
+    numbered = range_positions(labels, [F.col("label")])
+    marked = vectors.join(numbered, "label").withColumn("dataset", F.col("label").cast("string"))
+    return se.skipped_datasets(marked.withColumn("embedding", F.when(F.col("position") % 2 == 0, F.col("embedding"))))
+
+
 @query(
     "size_advice",
     f"WITH {_TOTALS} SELECT dataset, n, n < 100000 AS warn_size, n < 100000 AS warn_epsilon FROM totals",

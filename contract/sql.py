@@ -1,6 +1,6 @@
 """SQL fragments that several oracles share."""
 
-from paperloom.constants import HASH_DIM, SAMPLE_PRIME, SPACE_CLASS
+from paperloom.constants import HASH_DIM, SAMPLE_PRIME, SPACE_CLASS, UNHELPFUL_NAMES
 
 SPACES = f"{SPACE_CLASS}+"
 
@@ -29,7 +29,7 @@ stems AS (
 named AS (
   SELECT page_id, url, html, regexp_replace(
     CASE WHEN is_url AND (length(stem) < 3 OR lower(stem) IN
-              ('view', 'download', 'file', 'index', 'blob', 'raw'))
+              {UNHELPFUL_NAMES})
          THEN 'doc_' || substr(md5(url), 1, 10) ELSE stem END,
     '[^A-Za-z0-9._-]', '_', 'g') AS name
   FROM stems)"""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,9 +25,9 @@ from paperloom.constants import HASH_DIM, SUBSET_INSTRUCTION
 from paperloom.operators.chunking import chunk_documents, chunk_records
 from paperloom.operators.convert import export_documents, item_rows
 from paperloom.plans.retrieval import chunk_key, page_vectors
-from paperloom.plans.subset import subset_records
+from paperloom.plans.subset import subset_records, write_file_subsets
 from paperloom.session import scratch_path
-from paperloom.sources.datasets import concat_datasets, read_dataset, write_dataset
+from paperloom.sources.datasets import broken_records, concat_datasets, read_dataset, write_dataset
 from paperloom.sources.documents import (
     read_documents,
     write_chunks,
@@ -208,6 +209,101 @@ def collection_violations_query(spark: SparkSession, folder: str) -> DataFrame:
     return collection_violations(rows, HASH_DIM)
 
 
+@query(
+    "vector_collection_cut",
+    f"""{_CHUNKS} SELECT page_id || '#' || chunk_index AS id, substr(c.text, 1, 100) AS text, url AS source, chunk_index
+    FROM chunks c JOIN named USING (page_id)""",
+)
+def vector_collection_cut(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts cut to a length that many of them exceed."""
+    path = scratch_path(spark, "cut")
+    pages = page_vectors(spread_table(spark, folder, "pages", "page_id"))
+    write_collection(collection_rows(pages, chunk_key(), text_chars=100), path, HASH_DIM)
+    return read_collection(spark, path).select("id", "text", "source", "chunk_index")
+
+
+@query(
+    "collection_rules",
+    """
+    WITH rows AS (
+      SELECT doc_id, CASE WHEN n_chars % 11 <> 0 THEN substr(text, 1, 300) END AS id,
+             CASE WHEN n_chars % 2 = 0 THEN text ELSE source END AS source FROM documents)
+    SELECT 'id missing' AS rule, id, 1::BIGINT AS n FROM rows WHERE id IS NULL
+    UNION ALL SELECT 'id too long', id, 1 FROM rows WHERE length(id) > 256
+    UNION ALL SELECT 'source too long', id, 1 FROM rows WHERE length(source) > 1024
+    UNION ALL SELECT 'embedding malformed', id, 1 FROM rows WHERE doc_id % 3 <> 1
+    UNION ALL SELECT 'id repeated', id, count(*) FROM rows GROUP BY id HAVING count(*) > 1""",
+)
+def collection_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents misused as collection rows break every rule."""
+    docs = table(spark, folder, "documents").select(
+        F.when(F.col("n_chars") % 11 != 0, F.substring("text", 1, 300)).alias("chunk_id"),
+        "text",
+        F.when(F.col("n_chars") % 2 == 0, F.col("text")).otherwise(F.col("source")).alias("source"),
+        F.col("doc_id").alias("chunk_index"),
+        F.array_repeat(F.lit(1.0), (F.col("doc_id") % 3 + 1).cast("int")).alias("embedding"),
+    )
+    return collection_violations(collection_rows(docs), 2)
+
+
+_ARRAYS = "SELECT doc_id, lang, md5(text) AS digest FROM documents"
+
+
+@query("scan_json_arrays", _ARRAYS)
+def scan_json_arrays(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents in files that are one JSON array each."""
+
+    def array_lines(batches):
+        opening = "["
+        for batch in batches:
+            lines = [opening] + [f", {line}" for line in batch.column(0).to_pylist()]
+            if opening:
+                lines[:2] = [f"[{lines[1].removeprefix(', ')}"] if len(lines) > 1 else lines[:1]
+            opening = ""
+            yield pa.RecordBatch.from_pydict({"value": [line for line in lines if line]})
+        yield pa.RecordBatch.from_pydict({"value": ["[]" if opening else "]"]})
+
+    path = f"{scratch_path(spark, 'arrays')}.json"
+    docs = table(spark, folder, "documents").select("doc_id", "lang", "text")
+    records = docs.repartition(3, "lang").select(F.to_json(F.struct("doc_id", "lang", "text")).alias("value"))
+    records.mapInArrow(array_lines, "value string").write.text(path)
+    found = read_dataset(spark, path, docs.schema)
+    return found.select("doc_id", "lang", F.md5("text").alias("digest"))
+
+
+@query(
+    "scan_broken_lines",
+    """SELECT doc_id, CASE WHEN doc_id % 10 = 3 THEN 'broken' ELSE 'read' END AS status,
+              CASE WHEN doc_id % 10 <> 3 THEN md5(text) END AS digest FROM documents""",
+)
+def scan_broken_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines that end too early are listed as they stand, the others read."""
+    path = f"{scratch_path(spark, 'broken')}.jsonl"
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    line = F.to_json(F.struct("doc_id", "text"))
+    cut = F.when(F.col("doc_id") % 10 == 3, F.concat(F.substring_index(line, ",", 1), F.lit(',"te'))).otherwise(line)
+    docs.select(cut.alias("value")).write.text(path)
+    read = read_dataset(spark, path, docs.schema, on_error="skip")
+    read = read.select("doc_id", F.lit("read").alias("status"), F.md5("text").alias("digest"))
+    broken = broken_records(spark, path, docs.schema).select(
+        F.regexp_extract("record", r'"doc_id":(\d+)', 1).cast("long").alias("doc_id"),
+        F.lit("broken").alias("status"),
+        F.lit(None).cast("string").alias("digest"),
+    )
+    return read.unionByName(broken)
+
+
+@query(
+    "scan_docjson_string_ids",
+    f"WITH {ITEMS} SELECT 'p-' || page_id AS doc_id, item_idx, label, level, text FROM items",
+)
+def scan_docjson_string_ids(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_path(spark, "docjson")
+    named = F.concat(F.lit("p-"), F.col("doc_id").cast("string"))
+    write_document_json(export_documents(documents(spark, folder).withColumn("doc_id", named)), path)
+    return item_rows(read_documents(spark, path, id_type="string"))
+
+
 _SUBSET_SIZES = [0.05, 50]
 
 
@@ -237,3 +333,35 @@ def subset_end_to_end(spark: SparkSession, folder: str) -> DataFrame:
     )
     config = SubsetConfig(sizes=_SUBSET_SIZES, num_folds=10, template="default")
     return subset_records(docs, config).select("dataset", "size_spec", "rank", "row_id", "gain", "source")
+
+
+@query(
+    "subset_of_files",
+    f"""
+    WITH RECURSIVE records AS (
+      SELECT 'documents' AS dataset, row_number() OVER (ORDER BY doc_id) - 1 AS row_id, doc_id, '{SUBSET_INSTRUCTION}: ' || text AS text
+      FROM documents),
+    {fold_table("records", "row_id", 10, "doc_id, text")},
+    {hashed("folded", "row_id", "text", "d")}, places AS (
+      SELECT dataset, fold, row_id, r.b FROM folded, range({HASH_DIM}) AS r(b)),
+    unit AS (
+      SELECT dataset, fold, row_id, list(coalesce(x / len, 0) ORDER BY b) AS v
+      FROM places LEFT JOIN d_vec USING (row_id, b) LEFT JOIN d_len USING (row_id) GROUP BY ALL),
+    sims AS (
+      SELECT a.dataset, a.fold, a.row_id AS i, b.row_id AS j,
+             round((list_dot_product(a.v, b.v) + 1) / 2, 7) AS s
+      FROM unit a JOIN unit b USING (dataset, fold)),
+    {greedy("row_id", _SUBSET_SIZES)}
+    SELECT merged.dataset, size_spec, rank, row_id, r.doc_id, md5(d.text) AS digest
+    FROM merged JOIN records r USING (row_id) JOIN documents d USING (doc_id) WHERE rank < keep""",
+)
+def subset_of_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw JSON lines numbered, embedded, selected, and written by dataset and size as JSON lines again."""
+    raw, out = f"{scratch_path(spark, 'raw')}/documents.jsonl", scratch_path(spark, "subsets")
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    write_dataset(docs.orderBy("doc_id"), raw, "jsonl")
+    config = SubsetConfig(sizes=_SUBSET_SIZES, num_folds=10, template="default")
+    write_file_subsets(spark, [raw], config, out, docs.schema)
+    kinds = "doc_id long, text string, row_id long, rank long, dataset string, size_spec string"
+    chosen = spark.read.schema(kinds).json(f"{out}/subsets")
+    return chosen.select("dataset", "size_spec", "rank", "row_id", "doc_id", F.md5("text").alias("digest"))

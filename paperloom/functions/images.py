@@ -31,6 +31,9 @@ def picture_markdown(
         return F.lit("<!-- image -->")
     if mode == "referenced" or content is None:
         return link
-    one_line = F.translate(F.base64(content), "\r\n", "")
-    inline = F.concat(F.lit(f"![Image](data:{mime};base64,"), one_line, F.lit(")"))
-    return F.coalesce(inline, link)
+    return F.coalesce(F.concat(F.lit("![Image]("), data_address(content, mime), F.lit(")")), link)
+
+
+def data_address(content: Column, mime: str = "image/png") -> Column:
+    """The bytes as an address that holds them; null without bytes."""
+    return F.concat(F.lit(f"data:{mime};base64,"), F.translate(F.base64(content), "\r\n", ""))

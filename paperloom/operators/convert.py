@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from paperloom.functions.evaluate import once
 from paperloom.functions.html import ITEM_TYPE, html_items
-from paperloom.functions.images import picture_markdown
+from paperloom.functions.images import data_address, picture_markdown
 from paperloom.functions.text import safe_filename
 
 CONVERTED, EMPTY, MISSING = "converted", "no items", "no content"
@@ -67,35 +67,64 @@ def item_rows(docs: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def _item_markdown(item: Column, image_mode: str) -> Column:
+def attach_pictures(docs: DataFrame, pictures: DataFrame, uri: str = "uri", content: str = "content") -> DataFrame:
+    """Documents with ``pictures``, the bytes of their pictures by place of the item.
+
+    Picture items are exploded with their place, meet the table of pictures by an equi-join on the address, and are put back by
+    place; items and texts do not move for it. A picture without bytes, or with null ones, is not there. Of
+    repeated addresses the least bytes count.
+    """
+    places = docs.select("doc_id", F.posexplode("items").alias("_place", "_item")).filter(F.col("_item.label") == "picture")
+    known = pictures.filter(F.col(content).isNotNull()).groupBy(F.col(uri).alias("_uri")).agg(F.min(content).alias("_bytes"))
+    met = places.select("doc_id", "_place", F.col("_item.text").alias("_uri")).join(known, "_uri")
+    back = met.groupBy("doc_id").agg(F.map_from_entries(F.collect_list(F.struct("_place", "_bytes"))).alias("pictures"))
+    return docs.join(back, "doc_id", "left")
+
+
+def _item_markdown(item: Column, image_mode: str, content: Column | None) -> Column:
     text, label = item["text"], item["label"]
     return (
         F.when(item["level"] > 0, F.concat(F.repeat(F.lit("#"), item["level"]), F.lit(" "), text))
         .when(label == "list_item", F.concat(F.lit("- "), text))
         .when(label == "table_row", F.concat(F.lit("| "), text, F.lit(" |")))
         .when(label == "code", F.concat(F.lit("```\n"), text, F.lit("\n```")))
-        .when(label == "picture", picture_markdown(image_mode, text))
+        .when(label == "picture", picture_markdown(image_mode, text, content))
         .otherwise(text)
     )
 
 
-def markdown(items: Column, image_mode: str = "referenced") -> Column:
-    """Markdown of a document, items separated by a blank line."""
-    return F.array_join(F.transform(items, lambda item: _item_markdown(item, image_mode)), "\n\n")
+def markdown(items: Column, image_mode: str = "referenced", pictures: Column | None = None) -> Column:
+    """Markdown of a document, items separated by a blank line; ``pictures`` has bytes by place."""
+
+    def one(item: Column, place: Column) -> Column:
+        return _item_markdown(item, image_mode, None if pictures is None else F.try_element_at(pictures, place))
+
+    return F.array_join(F.transform(items, one), "\n\n")
+
+
+def document_json(image_mode: str = "referenced", pictures: Column | None = None) -> Column:
+    """Lossless JSON of a document row; :func:`paperloom.sources.documents.read_documents` reads it.
+
+    With ``embedded`` pictures whose bytes are known hold them as ``image``, a data address.
+    """
+    if image_mode != "embedded" or pictures is None:
+        return F.to_json(F.struct("doc_id", "source", "name", "items"))
 
+    def whole(item: Column, place: Column) -> Column:
+        return F.struct(item["label"].alias("label"), item["level"].alias("level"), item["text"].alias("text"),
+                        data_address(F.try_element_at(pictures, place)).alias("image"))
 
-def document_json() -> Column:
-    """Lossless JSON of a document row; :func:`paperloom.sources.documents.read_documents` reads it."""
-    return F.to_json(F.struct("doc_id", "source", "name", "items"))
+    return F.to_json(F.struct("doc_id", "source", "name", F.transform("items", whole).alias("items")))
 
 
 def export_documents(docs: DataFrame, image_mode: str = "referenced") -> DataFrame:
-    """``(doc_id, stem, json, md)`` for every document."""
+    """``(doc_id, stem, json, md)`` for every document; ``embedded`` needs :func:`attach_pictures` first to show bytes."""
+    pictures = F.col("pictures") if "pictures" in docs.columns else None
     return docs.select(
         "doc_id",
         F.col("name").alias("stem"),
-        document_json().alias("json"),
-        markdown(F.col("items"), image_mode).alias("md"),
+        document_json(image_mode, pictures).alias("json"),
+        markdown(F.col("items"), image_mode, pictures).alias("md"),
     )
 
 

@@ -7,6 +7,7 @@ told by a *finder* per field, a column expression that gives the raw text or NUL
 from __future__ import annotations
 
 import dataclasses
+import datetime
 import json
 import types
 import typing
@@ -24,8 +25,9 @@ _NAMED_TYPES = {
     "float": T.DoubleType(),
     "int": T.LongType(),
     "bool": T.BooleanType(),
+    "date": T.DateType(),
 }
-_PYTHON_TYPES = {str: "string", float: "float", int: "int", bool: "bool"}
+_PYTHON_TYPES = {str: "string", float: "float", int: "int", bool: "bool", datetime.date: "date"}
 
 
 @dataclass(frozen=True)

@@ -1,3 +1,5 @@
+import datetime
+import json
 import os
 from dataclasses import dataclass
 from typing import Optional
@@ -105,54 +107,62 @@ def test_shared_folder_comes_from_the_session(spark):
 
 
 @dataclass
-class Parcel:
-    tracking_code: str
-    weight_kg: float = 10
-    carrier: Optional[str] = None
+class Reading:
+    """Five fields of five kinds, two of them required."""
 
+    taken: datetime.date
+    station: int
+    usable: bool = True
+    depth: Optional[float] = None
+    crew: str = "night shift"
 
-PARCELS = [
-    (1, "Parcel PX1 weighs 12.50 sent by Northwind"),
-    (2, "Parcel PX2 sent by Northwind"),
-    (3, "Parcel PX3 weighs n/a"),
-    (4, "weighs 7"),
+
+READINGS = [
+    (1, "2021-03-04 station 17 depth 2.25m usable=false crew: Ada"),
+    (2, "station 18 depth deep usable=perhaps"),
+    (3, "2021-13-40 station x usable=true"),
+    (4, ""),
 ]
 PATTERNS = {
-    "tracking_code": r"Parcel (\S+)",
-    "weight_kg": r"weighs (\S+)",
-    "carrier": r"sent by (\S+)",
+    "usable": r"usable=(\w+)",
+    "station": r"station (\w+)",
+    "crew": r"crew: (\w+)",
+    "taken": r"(\d{4}-\d\d-\d\d)",
+    "depth": r"depth ([^m ]+)",
 }
+DAY = datetime.date(2021, 3, 4)
 
 
 def extracted(spark, template, fields=tuple(PATTERNS)):
-    df = spark.createDataFrame(PARCELS, "i int, text string")
+    df = spark.createDataFrame(READINGS, "i int, text string")
     finders = ex.pattern_finders(F.col("text"), {f: PATTERNS[f] for f in fields})
     rows = ex.extract_fields(df, template, finders, "i").orderBy("i").collect()
     return [tuple(r)[1:] for r in rows]
 
 
 def test_string_and_dict_templates(spark):
-    expected = [("PX1", 12.5, []), ("PX2", None, []), ("PX3", None, []), (None, 7.0, [])]
-    fields = ("tracking_code", "weight_kg")
-    assert extracted(spark, '{"tracking_code": "string", "weight_kg": "float"}', fields) == expected
-    assert extracted(spark, {"tracking_code": "string", "weight_kg": "float"}, fields) == expected
+    kinds = {"usable": "bool", "taken": "date", "depth": "str"}
+    expected = [(False, DAY, "2.25", []), (None, None, "deep", []), (True, None, None, []), (None, None, None, [])]
+    assert extracted(spark, json.dumps(kinds), tuple(kinds)) == expected
+    assert extracted(spark, kinds, tuple(kinds)) == expected
 
 
 def test_model_template(spark):
-    assert extracted(spark, Parcel) == [
-        ("PX1", 12.5, "Northwind", []),
-        ("PX2", 10.0, "Northwind", []),
-        ("PX3", 10.0, None, []),
-        (None, 7.0, None, ["tracking_code"]),
+    assert extracted(spark, Reading) == [
+        (DAY, 17, False, 2.25, "Ada", []),
+        (None, 18, True, None, "night shift", ["taken"]),
+        (None, None, True, None, "night shift", ["taken", "station"]),
+        (None, None, True, None, "night shift", ["taken", "station"]),
     ]
 
 
 def test_instance_template(spark):
-    assert extracted(spark, Parcel("UNKNOWN", 0.0, "Harbour Lines")) == [
-        ("PX1", 12.5, "Northwind", []),
-        ("PX2", 0.0, "Northwind", []),
-        ("PX3", 0.0, "Harbour Lines", []),
-        ("UNKNOWN", 7.0, "Harbour Lines", []),
+    start = datetime.date(1999, 1, 1)
+    assert extracted(spark, Reading(start, -1, usable=False, crew="")) == [
+        (DAY, 17, False, 2.25, "Ada", []),
+        (start, 18, False, None, "", []),
+        (start, -1, True, None, "", []),
+        (start, -1, False, None, "", []),
     ]
 
 
