@@ -10,9 +10,8 @@ from pyspark.sql import functions as F
 from paperloom.llm.common import materialized
 
 ROUNDS = 6
-#: Walks that a row may need. A walk is repeated with a chance under one half, so that more
-#: than these never occur in practice; if they did, the query would stop with an error.
-WALKS = 128
+#: A row needs more walks than are made with a chance of 2 to minus this; the query would then stop with an error.
+WALK_BITS = 128
 
 
 def feistel(value: Column, side: int, seed: int) -> Column:
@@ -37,11 +36,16 @@ def permuted(number: Column, rows: int, seed: int) -> Column:
     """The place of a row number after the shuffle of 0 .. rows-1.
 
     The domain is the smallest square that holds all rows; a place beyond the last row is
-    permuted again until it is a row.
+    permuted again until it is a row. A walk never takes more steps than the domain has places beyond the rows, and
+    goes on with the share of those in the domain as its chance.
     """
     side = max(math.isqrt(max(rows - 1, 0)) + 1, 1)
+    beyond = side * side - rows
+    if beyond <= 0 or rows <= 0:
+        return feistel(number, side, seed)
+    steps = min(beyond, math.ceil(WALK_BITS / math.log2(side * side / beyond)))
     walked = F.aggregate(
-        F.sequence(F.lit(1), F.lit(WALKS)),
+        F.sequence(F.lit(1), F.lit(steps)),
         feistel(number, side, seed),
         lambda place, _: F.when(place < rows, place).otherwise(feistel(place, side, seed)),
     )
