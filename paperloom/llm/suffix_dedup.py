@@ -85,7 +85,9 @@ def digests_of(data: np.ndarray, offsets: np.ndarray, runs: dict[str, np.ndarray
     return {"digest": halves[:, 0], "check": halves[:, 1]}
 
 
-_COLUMNS = (("gram", np.uint64), ("digest", np.uint64), ("check", np.uint64), ("id", np.int64), ("start", np.uint32), ("self", bool), ("gone", bool))
+_COLUMNS = (
+    ("gram", np.uint64), ("digest", np.uint64), ("check", np.uint64), ("id", np.int64), ("sign", np.int64), ("start", np.uint32), ("self", bool), ("gone", bool),
+)
 
 
 def _later_copies(runs: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -101,6 +103,11 @@ def _later_copies(runs: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return order, (doc != doc[first]) | (start != start[first])
 
 
+def _signs(batch: pa.RecordBatch) -> np.ndarray:
+    """What tells texts of one number apart; without it numbers are unique."""
+    return batch.column("sign").to_numpy() if "sign" in batch.schema.names else np.zeros(batch.num_rows, np.int64)
+
+
 def _ship(buckets: int):
     """Runs dealt to buckets by their gram; later copies inside the task's own buffer are settled here."""
 
@@ -123,6 +130,7 @@ def _ship(buckets: int):
             runs = runs_of(data, offsets)
             runs |= digests_of(data, offsets, runs)
             runs["id"] = batch.column("id").to_numpy()[runs["doc"]]
+            runs["sign"] = _signs(batch)[runs["doc"]]
             waiting.append(runs)
             count += len(runs["doc"])
             if count >= BUFFER_RUNS:
@@ -149,44 +157,41 @@ def _settle(table: pa.Table) -> pa.Table:
     wanted = (classes[name] > 1) | first["self"] if len(name) else np.empty(0, bool)
     gone = [settled, {n: v[later] for n, v in runs.items()}]
     look = {n: v[wanted] for n, v in first.items()}
-    joined = {n: np.concatenate([*(g[n] for g in gone), look[n]]) for n in ("id", "start", "digest", "gram")}
+    joined = {n: np.concatenate([*(g[n] for g in gone), look[n]]) for n in ("id", "sign", "start", "gram")}
     whole = len(joined["id"]) - len(look["id"])
     zeros = np.zeros(whole, np.int64)
     return pa.table({
-        "id": joined["id"], "start": joined["start"].astype(np.int64), "digest": joined["digest"].astype(np.int64),
+        "id": joined["id"], "sign": joined["sign"], "start": joined["start"].astype(np.int64),
         "whole": np.arange(len(joined["id"])) < whole, "gram": joined["gram"].astype(np.int64),
         "part": np.concatenate((zeros, part[wanted])).astype(np.int64), "parts": np.concatenate((zeros, parts[name][wanted] if len(name) else zeros[:0])).astype(np.int64),
     })
 
 
-def _find_runs(data: np.ndarray, begin: int, runs: dict[str, np.ndarray], doc: int, firsts: np.ndarray, asked: list[dict]):
-    """Numbers of the runs of a text, which begins at ``begin``, that were asked for by start and digest."""
-    a, b = firsts[doc], firsts[doc + 1]
-    starts = runs["start"][a:b]
-    for request in asked:
-        k = int(np.searchsorted(starts, request["start"]))
-        if k < b - a and starts[k] == request["start"]:
-            first = begin + request["start"]
-            digest = _digest(data[first : first + runs["count"][a + k] + WINDOW - 1])
-            if int.from_bytes(digest[:8], "little", signed=True) == request["digest"]:
-                yield a + k, request
+def _asked(column: pa.Array, *fields: str) -> tuple[np.ndarray, ...]:
+    """The text's number and the fields of all structs in an array of lists; null lists are empty."""
+    counts = column.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    flat = column.flatten()
+    return np.repeat(np.arange(len(column)), counts), *(flat.field(flat.type.get_field_index(f)).to_numpy(zero_copy_only=False) for f in fields)
+
+
+def _run_at(runs: dict[str, np.ndarray], doc: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """Numbers of the runs that begin at these places of these texts."""
+    place = lambda d, s: (d.astype(np.int64) << 32) | s.astype(np.int64)
+    return np.minimum(np.searchsorted(place(runs["doc"], runs["start"]), place(doc, start)), len(runs["doc"]) - 1)
 
 
 def _cut_runs(batches):
     """The bytes of the runs to compare."""
+    names = ["start", "gram", "part", "parts"]
     for batch in text_chunks(batches, "text"):
         data, offsets = utf8(batch.column("text"))
         runs = runs_of(data, offsets)
-        firsts = np.searchsorted(runs["doc"], np.arange(batch.num_rows + 1))
-        rows = []
-        for doc, asked in enumerate(batch.column("asked").to_pylist()):
-            for k, request in _find_runs(data, offsets[doc], runs, doc, firsts, asked):
-                begin = offsets[doc] + request["start"]
-                piece = data[begin : begin + runs["count"][k] + WINDOW - 1].tobytes()
-                rows.append((batch.column("id")[doc].as_py(), request["start"], request["digest"], request["gram"], request["part"], request["parts"], piece))
-        names = ["id", "start", "digest", "gram", "part", "parts"]
-        columns = [pa.array([r[i] for r in rows], pa.int64()) for i in range(6)] + [pa.array([r[6] for r in rows], pa.binary())]
-        yield pa.RecordBatch.from_arrays(columns, [*names, "piece"])
+        doc, *fields = _asked(batch.column("asked"), *names)
+        begin = offsets[doc] + fields[0]
+        end = begin + runs["count"][_run_at(runs, doc, fields[0])] + WINDOW - 1
+        pieces = [data[a:b].tobytes() for a, b in zip(begin.tolist(), end.tolist())]
+        own = [batch.column(n).to_numpy()[doc] for n in ("id", "sign")]
+        yield pa.RecordBatch.from_arrays([*map(pa.array, [*own, *fields]), pa.array(pieces, pa.binary())], ["id", "sign", *names, "piece"])
 
 
 def suffix_order(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -253,7 +258,7 @@ def common_prefixes(data: np.ndarray, order: np.ndarray, rank: np.ndarray, most:
 
 
 def _compare(table: pa.Table) -> pa.Table:
-    """Windows of one shard's runs that start earlier elsewhere in it; and of runs dealt over shards, the first windows."""
+    """Intervals of windows of one shard's runs that start earlier elsewhere in it; and of runs dealt over shards, the first windows."""
     pieces = table.column("piece").to_pylist()
     data = np.frombuffer(b"".join(pieces), np.uint8)
     sizes = np.array([len(p) for p in pieces])
@@ -276,33 +281,40 @@ def _compare(table: pa.Table) -> pa.Table:
     first = np.flatnonzero(fresh)[np.cumsum(fresh) - 1]
     later = (doc != doc[first]) | (at != at[first])
     split = table.column("parts").to_numpy()[run[places]] > 1
-    tell = later | split
-    owner, local = run[places][tell], offset[places][tell]
-    later, places = later[tell], places[tell]
-    spelled = [None if gone else data[p : p + WINDOW].tobytes() for gone, p in zip(later.tolist(), places.tolist())]
+
+    # Later windows that follow each other in a run are one interval.
+    hit = np.zeros(len(data) + 1, bool)
+    hit[places[later]] = True
+    edge = np.zeros(len(hit), bool)
+    edge[begins] = True
+    opens, closes = hit.copy(), hit.copy()
+    opens[1:] &= ~hit[:-1] | edge[1:]
+    closes[:-1] &= ~hit[1:] | edge[1:]
+    low, high = np.flatnonzero(opens), np.flatnonzero(closes)
+    told = places[split & ~later]
+    owner = np.concatenate((run[low], run[told]))
+    spelled = [None] * len(low) + [data[p : p + WINDOW].tobytes() for p in told.tolist()]
     return pa.table({
-        "id": ids[owner], "start": starts[owner], "digest": table.column("digest").to_numpy()[owner], "at": local,
-        "window": pa.array(spelled, pa.binary()),
+        "id": ids[owner], "sign": table.column("sign").to_numpy()[owner],
+        "at": np.concatenate((starts[run[low]] + offset[low], starts[run[told]] + offset[told])),
+        "reach": np.concatenate((high - low + 1, np.ones(len(told), np.int64))), "window": pa.array(spelled, pa.binary()),
     })
 
 
 def _remove(batches):
-    """The rest of each text, given its runs that go whole and windows that go."""
+    """The rest of each text, given its runs that go whole (no reach) and intervals of windows that go."""
     for batch in text_chunks(batches, "text"):
         data, offsets = utf8(batch.column("text"))
-        runs = runs_of(data, offsets)
-        firsts = np.searchsorted(runs["doc"], np.arange(batch.num_rows + 1))
         change = np.zeros(len(data) + 1, np.int64)
-        for doc, asked in enumerate(batch.column("asked").to_pylist()):
-            for k, request in _find_runs(data, offsets[doc], runs, doc, firsts, asked or []):
-                begin = offsets[doc] + request["start"]
-                if request["at"] is None:
-                    change[begin] += 1
-                    change[begin + runs["count"][k] + WINDOW - 1] -= 1
-                else:
-                    windows = begin + np.array(request["at"])
-                    np.add.at(change, windows, 1)
-                    np.add.at(change, windows + WINDOW, -1)
+        doc, at, reach = _asked(batch.column("asked"), "at", "reach")
+        whole = reach == 0
+        if whole.any():
+            runs = runs_of(data, offsets)
+            reach = reach.copy()
+            reach[whole] = runs["count"][_run_at(runs, doc[whole], at[whole])]
+        begin = offsets[doc] + at
+        np.add.at(change, begin, 1)
+        np.add.at(change, begin + reach + WINDOW - 1, -1)
         gone = np.cumsum(change[:-1]) > 0
         removed = np.concatenate(([0], np.cumsum(gone)))
         head = gone.copy()
@@ -328,35 +340,35 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text") ->
     A null text counts as empty. Rows with a null key take no part and keep all bytes. Rows that repeat a key are versions of one
     document: only starts tell them apart, and equal starts remove nothing. An empty table gives no rows.
     """
-    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).withColumn("sign", F.xxhash64("text"))
     named = rows.where("id IS NOT NULL")
     total = named.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(8, -(-total // BUCKET_BYTES))
     shipped = named.mapInArrow(_ship(buckets), "bucket long, " + ", ".join(f"{n} binary" for n, _ in _COLUMNS))
-    settled = shipped.groupBy("bucket").applyInArrow(_settle, "id long, start long, digest long, whole boolean, gram long, part long, parts long")
+    settled = shipped.groupBy("bucket").applyInArrow(_settle, "id long, sign long, start long, whole boolean, gram long, part long, parts long")
     settled = materialized(settled, "runs")
 
-    look = settled.where("NOT whole").groupBy("id")
-    look = look.agg(F.collect_list(F.struct("start", "digest", "gram", "part", "parts")).alias("asked"))
+    look = settled.where("NOT whole").distinct().groupBy("id", "sign")
+    look = look.agg(F.collect_list(F.struct("start", "gram", "part", "parts")).alias("asked"))
     # Requests grow with the corpus: they meet the texts by sorting, never by broadcast.
-    pieces = named.join(look.hint("merge"), "id")
-    pieces = pieces.mapInArrow(_cut_runs, "id long, start long, digest long, gram long, part long, parts long, piece binary")
+    pieces = named.join(look.hint("merge"), ["id", "sign"])
+    pieces = pieces.mapInArrow(_cut_runs, "id long, sign long, start long, gram long, part long, parts long, piece binary")
     pieces = materialized(pieces, "pieces")
     size = pieces.agg(F.sum(F.octet_length("piece"))).first()[0] or 0
     shards = max(1, -(-size // SHARD_BYTES))
     alone = F.pmod(F.xxhash64("gram"), F.lit(shards))
     shard = F.when(F.col("parts") > 1, F.xxhash64("gram", "part")).otherwise(alone)
     found = pieces.withColumn("shard", shard).groupBy("shard")
-    found = materialized(found.applyInArrow(_compare, "id long, start long, digest long, at long, window binary"), "windows")
-    # Windows of grams that were dealt over several shards meet by their bytes.
-    place = F.struct("id", (F.col("start") + F.col("at")).alias("place"))
-    earliest = found.where("window IS NOT NULL").groupBy("window").agg(F.min(place).alias("earliest"), F.count("*").alias("rows"))
-    across = found.where("window IS NOT NULL").join(earliest.where("rows > 1"), "window").where(place != F.col("earliest"))
-    windows = found.where("window IS NULL").drop("window").unionByName(across.select("id", "start", "digest", "at"))
-    windows = windows.groupBy("id", "start", "digest").agg(F.collect_list("at").alias("at"))
-
-    whole = settled.where("whole").select("id", "start", "digest", F.lit(None).cast("array<long>").alias("at"))
-    asked = whole.unionByName(windows).groupBy("id").agg(F.collect_list(F.struct("start", "digest", "at")).alias("asked"))
+    found = materialized(found.applyInArrow(_compare, "id long, sign long, at long, reach long, window binary"), "windows")
+    # Windows of grams that were dealt over several shards meet by their bytes, the first of each shard.
+    place = F.struct("id", F.col("at").alias("place"))
+    told = found.where("window IS NOT NULL")
+    earliest = told.groupBy("window").agg(F.min(place).alias("earliest"), F.count("*").alias("rows"))
+    across = told.join(earliest.where("rows > 1"), "window").where(place != F.col("earliest"))
+    windows = found.where("window IS NULL").drop("window").unionByName(across.select("id", "sign", "at", "reach"))
+
+    whole = settled.where("whole").select("id", "sign", F.col("start").alias("at"), F.lit(0).cast("long").alias("reach"))
+    asked = whole.unionByName(windows).groupBy("id", "sign").agg(F.collect_list(F.struct("at", "reach")).alias("asked"))
     schema = StructType.fromDDL("id long, n_bytes long, n_removed long, n_spans long, kept_bytes binary, kept_sha256 string")
-    result = rows.join(asked.hint("merge"), "id", "left").mapInArrow(_remove, schema)
+    result = rows.join(asked.hint("merge"), ["id", "sign"], "left").mapInArrow(_remove, schema)
     return result.withColumnRenamed("id", key)
