@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from contract import query, spread_table, table
-from contract.sql import DEFAULT_SETTING, ITEMS, NAMED_PAGES, PACKED, pieces, words
+from contract.sql import DEFAULT_SETTING, ITEMS, NAMED_PAGES, PACKED, items_of, pieces, words
 from paperloom.config import ConvertConfig
 from paperloom.functions.images import picture_markdown
 from paperloom.operators import chunking as ch
@@ -37,6 +37,23 @@ def html_items_query(spark: SparkSession, folder: str) -> DataFrame:
     return item_rows(documents(spark, folder))
 
 
+_HARD = (
+    "<p>caf&eacute; &#8217;s &#x1F600; a < b & c > d &bogus; &amp;lt; &#0; &#xD800; &nbsp;&#160; x &copy 5 &frac12;</p>"
+    "<img alt='x' src='a b.png'><IMG src = c.png><img src=\"d&amp;e.png\"><h2>1 <2</h2>"
+)
+
+
+@query(
+    "html_references",
+    f"""WITH {items_of("html || '" + _HARD.replace("'", "''") + "'")}
+    SELECT page_id AS doc_id, item_idx, label, level, text FROM items""",
+)
+def html_references(spark: SparkSession, folder: str) -> DataFrame:
+    """Pages that end with references by name and number, lone brackets, and pictures in other quotes."""
+    pages = spread_table(spark, folder, "pages", "page_id").withColumn("html", F.concat("html", F.lit(_HARD)))
+    return item_rows(converted(convert_pages(pages)))
+
+
 _MARKDOWN = f"""
 marked AS (
   SELECT page_id, string_agg(

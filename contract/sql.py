@@ -1,6 +1,7 @@
 """SQL fragments that several oracles share."""
 
 from paperloom.constants import HASH_DIM, SAMPLE_PRIME, SPACE_CLASS, UNHELPFUL_NAMES
+from paperloom.functions.html import NAMED_CHARACTERS
 
 SPACES = f"{SPACE_CLASS}+"
 
@@ -35,48 +36,59 @@ named AS (
   FROM stems)"""
 
 
-def _chain() -> str:
+_NAMES = ", ".join(f"'{name}': chr({ord(character)})" for name, character in NAMED_CHARACTERS.items())
+
+
+def items_of(html: str) -> str:
+    """Items of pages whose markup is ``html``, as CTEs: (page_id, item_idx, label, level, text).
+
+    Tags are those that HTML knows by their first character, references are resolved by their number or name.
+    """
     item, name = "chr(30)", "chr(31)"
-    text = f"replace(replace(html, {item}, ''), {name}, '')"
+    text = f"replace(replace({html}, {item}, ''), {name}, '')"
     for pattern, new in (
         (
             r"(?is)<(?:!--.*?--|script\b.*?</script\s*|style\b.*?</style\s*|nav\b.*?</nav\s*"
             r'|footer\b.*?</footer\s*|head\b.*?</head\s*|div class="ad">.*?</div\s*)>',
             "''",
         ),
-        (r'(?i)<img\b[^>]*?\bsrc="([^"]*)"[^>]*>', f"{item} || 'img' || {name} || '\\1' || {item} || {name}"),
+        (
+            r"""(?i)<img\b[^>]*?\bsrc\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s>"'']+))[^>]*>""",
+            f"{item} || 'img' || {name} || '\\1\\2\\3' || {item} || {name}",
+        ),
         (r"(?i)<t[dh]\b[^>]*>", "' | '"),
         (r"(?i)<(/?(?:h[1-6]|p|li|tr|pre))\b[^>]*>", f"{item} || '\\1' || {name}"),
-        (r"<[^>]*>", "' '"),
+        (r"<[A-Za-z/!?][^>]*>", "' '"),
     ):
         text = f"regexp_replace({text}, '{pattern}', {new}, 'g')"
-    text = f"replace({text}, '&nbsp;', ' ')"
-    text = rf"regexp_replace({text}, '[ \t\n\r\x{{0b}}\x{{0c}}\x{{85}}\x{{a0}}]+', ' ', 'g')"
-    for entity, char in (
-        ("&lt;", "<"),
-        ("&gt;", ">"),
-        ("&quot;", '"'),
-        ("&#39;", "''"),
-        ("&apos;", "''"),
-        ("&amp;", "&"),
-    ):
-        text = f"replace({text}, '{entity}', '{char}')"
-    return f"{item} || {name} || {text}"
-
-
-# Items of pages: (page_id, item_idx, label, level, text).
-ITEMS = f"""
+    return rf"""
+stripped AS (SELECT page_id, string_split({text}, '&') AS parts FROM pages),
+loose AS (
+  SELECT page_id, i, parts[i] AS part, regexp_extract(parts[i], '^([#A-Za-z][0-9A-Za-z]*);', 1) AS ref
+  FROM stripped, LATERAL (SELECT unnest(generate_series(1, len(parts))) AS i)),
+codes AS (
+  SELECT *, CASE WHEN regexp_matches(ref, '^#[xX][0-9A-Fa-f]{{1,6}}$') THEN ('0x' || ref[3:])::BIGINT
+                 WHEN regexp_matches(ref, '^#[0-9]{{1,7}}$') THEN ref[2:]::BIGINT END AS code FROM loose),
+known AS (
+  SELECT *, CASE WHEN code IN (9, 10, 13) OR code BETWEEN 32 AND 55295 OR code BETWEEN 57344 AND 1114111 THEN chr(code::INT)
+                 WHEN code IS NOT NULL THEN chr(65533) ELSE MAP {{{_NAMES}}}[ref] END AS shown FROM codes),
+joined AS (
+  SELECT page_id, string_agg(CASE WHEN i = 1 THEN part WHEN shown IS NULL THEN '&' || part
+                                  ELSE shown || substr(part, length(ref) + 2) END, '' ORDER BY i) AS text
+  FROM known GROUP BY page_id),
+marks AS (
+  SELECT page_id, {item} || {name} || regexp_replace(text, '[ \t\n\r\x{{0b}}\x{{0c}}\x{{85}}\x{{a0}}]+', ' ', 'g') AS text FROM joined),
 segments AS (
-  SELECT page_id, unnest(string_split({_chain()}, chr(30))) AS segment,
-         generate_subscripts(string_split({_chain()}, chr(30)), 1) AS place
-  FROM pages),
+  SELECT page_id, unnest(string_split(text, chr(30))) AS segment,
+         generate_subscripts(string_split(text, chr(30)), 1) AS place
+  FROM marks),
 tagged AS (
   SELECT page_id, place, lower(split_part(segment, chr(31), 1)) AS tag,
-         trim(regexp_extract(segment, '[^\\x{{1f}}]*$'), ' ') AS raw
+         trim(regexp_extract(segment, '[^\x{{1f}}]*$'), ' ') AS raw
   FROM segments WHERE segment <> ''),
 cut AS (
   SELECT page_id, place, tag,
-         CASE WHEN tag = 'tr' THEN regexp_replace(raw, '^\\| ', '') ELSE raw END AS text
+         CASE WHEN tag = 'tr' THEN regexp_replace(raw, '^\| ', '') ELSE raw END AS text
   FROM tagged),
 items AS (
   SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY place) - 1)::INT AS item_idx,
@@ -88,6 +100,10 @@ items AS (
   FROM cut WHERE text <> '')"""
 
 
+# Items of pages: (page_id, item_idx, label, level, text).
+ITEMS = items_of("html")
+
+
 def pieces(settings: str) -> str:
     """Word ranges of text items under each setting; ``settings`` lists (setting, limit, merge).
 

@@ -6,6 +6,8 @@ derived from them need neither a shuffle nor a window.
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,17 +23,41 @@ _BOILERPLATE = (
 )
 _BLOCK = r"(?i)<(/?(?:h[1-6]|p|li|tr|pre))\b[^>]*>"
 _CELL = r"(?i)<t[dh]\b[^>]*>"
-_IMAGE = r'(?i)<img\b[^>]*?\bsrc="([^"]*)"[^>]*>'
+_IMAGE = r"""(?i)<img\b[^>]*?\bsrc\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))[^>]*>"""
+# A bracket opens a tag only before a letter, a slash or a mark of a declaration.
+_TAG = "<[A-Za-z/!?][^>]*>"
 _SPACES = r"[ \t\n\r\x{0b}\x{0c}\x{85}\x{a0}]+"
-# The ampersand comes last, so that an escaped entity is decoded once.
-_ENTITIES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&#39;", "'"),
-    ("&apos;", "'"),
-    ("&amp;", "&"),
-)
+_REFERENCE = r"^(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+
+#: Characters by the names that HTML 4 gives them, and the apostrophe.
+NAMED_CHARACTERS = {name: chr(code) for name, code in name2codepoint.items()} | {"apos": "'"}
+_UNKNOWN = "\ufffd"
+
+
+def _numbered(code: Column) -> Column:
+    """The character of a code point; control characters and numbers that are none give a replacement character."""
+    whole = code.between(32, 0xD7FF) | code.between(0xE000, 0x10FFFF) | code.isin(9, 10, 13)
+    bytes_ = F.unhex(F.lpad(F.hex(F.when(whole, code)), 8, "0"))
+    return F.coalesce(F.decode(bytes_, "UTF-32"), F.lit(_UNKNOWN))
+
+
+def _resolved(segment: Column) -> Column:
+    """Text that followed an ampersand, with its reference resolved; what is no reference stays."""
+    name = F.regexp_extract(segment, _REFERENCE, 1)
+    named = F.create_map(*[F.lit(x) for pair in NAMED_CHARACTERS.items() for x in pair])
+    code = F.when(F.lower(F.substring(name, 1, 2)) == "#x", F.conv(F.substring(name, 3, 6), 16, 10)).when(
+        F.substring(name, 1, 1) == "#", F.substring(name, 2, 7)
+    )
+    character = F.when(code.isNotNull(), _numbered(code.cast("long"))).otherwise(F.try_element_at(named, name))
+    rest = F.substring(segment, F.length(name) + 2, F.length(segment))
+    return F.coalesce(F.concat(character, rest), F.concat(F.lit("&"), segment))
+
+
+def resolve_references(text: Column) -> Column:
+    """Named and numeric character references, each resolved once: ``&amp;lt;`` becomes ``&lt;``."""
+    parts = F.split(text, "&")
+    resolved = F.concat(F.slice(parts, 1, 1), F.transform(F.slice(parts, 2, F.size(parts)), _resolved))
+    return F.when(F.contains(text, F.lit("&")), F.array_join(resolved, "")).otherwise(text)
 
 
 def marked_text(html: Column) -> Column:
@@ -41,15 +67,11 @@ def marked_text(html: Column) -> Column:
     """
     text = F.replace(F.replace(html, F.lit(_ITEM), F.lit("")), F.lit(_NAME), F.lit(""))
     text = F.regexp_replace(text, _BOILERPLATE, "")
-    text = F.regexp_replace(text, _IMAGE, f"{_ITEM}img{_NAME}$1{_ITEM}{_NAME}")
+    text = F.regexp_replace(text, _IMAGE, f"{_ITEM}img{_NAME}$1$2$3{_ITEM}{_NAME}")
     text = F.regexp_replace(text, _CELL, " | ")
     text = F.regexp_replace(text, _BLOCK, f"{_ITEM}$1{_NAME}")
-    text = F.regexp_replace(text, "<[^>]*>", " ")
-    text = F.replace(text, F.lit("&nbsp;"), F.lit(" "))
-    text = F.regexp_replace(text, _SPACES, " ")
-    for entity, char in _ENTITIES:
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return F.concat(F.lit(_ITEM + _NAME), text)
+    text = resolve_references(F.regexp_replace(text, _TAG, " "))
+    return F.concat(F.lit(_ITEM + _NAME), F.regexp_replace(text, _SPACES, " "))
 
 
 def _tagged(segment: Column) -> Column:
