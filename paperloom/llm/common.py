@@ -10,9 +10,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import paperloom
-from paperloom.session import materialized, scratch_path
+from paperloom.session import materialized, release, scratch_path, staging
 
-__all__ = ["CHUNK_BYTES", "hash_powers", "held_out", "materialized", "mix", "rank_key", "scratch_path", "table", "text_chunks", "utf8"]
+__all__ = ["CHUNK_BYTES", "hash_powers", "held_out", "materialized", "mix", "rank_key", "release", "scratch_path", "staging", "table", "text_chunks", "utf8"]
 
 # Tasks get the functions with the query, so that the package need not be installed there.
 cloudpickle.register_pickle_by_value(paperloom)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperloom.llm.common import materialized
+from paperloom.llm.common import materialized, release
 
 
 def _stars(links: DataFrame, larger: bool) -> DataFrame:
@@ -30,7 +30,8 @@ def components(links: DataFrame) -> DataFrame:
     links = materialized(links, "links")
     seen = None
     while True:
-        links = materialized(_stars(_stars(links, True).distinct(), False).distinct(), "stars")
+        before, links = links, materialized(_stars(_stars(links, True).distinct(), False).distinct(), "stars")
+        release(before)
         sign = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if sign == seen:
             break
