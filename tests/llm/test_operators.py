@@ -485,6 +485,33 @@ def test_words_with_equal_codes_differ(spark):
     assert removed(rows, spark) == {1: "", 2: ""}
 
 
+def test_sketches_of_long_lines_lose_no_pair_and_sift_others(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for n in (90, 127, 128, 130, 255, 256, 300, 511, 520, 1030, 3000, 20000):
+        base = [f"w{i}" for i in rng.integers(0, 100_000, n)]
+        line = list(base)
+        for _ in range(n // 5):
+            place, kind = int(rng.integers(0, len(line))), int(rng.integers(0, 3))
+            line[place : place + (kind < 2)] = [f"x{rng.integers(0, 10**6)}"] if kind else []
+        rows += [(n, True, base, line), (n, True, base, base + [f"y{i}" for i in range(n // 4)]), (n, False, base, [f"w{i}" for i in rng.integers(0, 100_000, n)])]
+    frame = spark.createDataFrame(rows, "n int, near boolean, x array<string>, y array<string>")
+    sketches = frame.select("n", "near", *(line_dedup._sketch(F.col(c)).alias(c) for c in "xy"))
+    found = sketches.select("n", "near", line_dedup._maybe_alike(F.col("x"), F.col("y")).alias("maybe")).collect()
+    assert all(r["maybe"] for r in found if r["near"])
+    assert {r["n"] for r in found if r["maybe"] and not r["near"]} <= {127, 20000}
+
+
+def test_words_with_equal_hash_codes_differ(spark):
+    words = spark.range(4000).select(F.concat(F.lit("v"), "id").alias("word"))
+    codes = words.select("word", line_dedup._hash_codes(F.array("word")).alias("code"))
+    a, b = codes.groupBy("code").agg(F.array_sort(F.collect_list("word")).alias("words")).where("size(words) > 1").first()["words"][:2]
+    lines = [f"one two three {a} five six p1 eight nine q1", f"one two three {b} five six p2 eight nine q2", f"one two three {a} five six p1 eight nine q3"]
+    frame = spark.createDataFrame(list(enumerate(lines)), "line_key long, line string")
+    pairs = spark.createDataFrame([(0, 1), (0, 2), (1, 2)], "a long, b long")
+    assert [tuple(r) for r in line_dedup._confirmed(pairs, frame).collect()] == [(0, 2)]
+
+
 def test_line_normalisation_of_any_script(spark):
     rows = [
         (1, "“Five words” – in this line…"), (2, "Five words in this line"), (3, "five words in «this» line"),
