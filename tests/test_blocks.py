@@ -214,3 +214,23 @@ def test_packing_of_a_long_document():
     size = [s % 20 if lv > 0 else s for lv, s in zip(level, rng.integers(0, 400, 5_000).tolist())]
     found = chunking.pack(pa.array([level], pa.list_(pa.int32())), pa.array([size], pa.list_(pa.int32())), np.array([100]), np.array([True]))
     assert found.to_pylist() == [plain_chunks(level, size, 100, True)]
+
+
+def test_exact_greedy_compares_few_rows_with_all(monkeypatch):
+    monkeypatch.setattr(se, "_KEPT_CELLS", 8_000)
+    matrix = points(800, 6, 2)
+    matrix[400:420] = matrix[:20]
+    fold, asked = se._Fold(matrix), []
+    look = fold._similar
+    monkeypatch.setattr(fold, "_similar", lambda rows: asked.extend(rows) or look(rows))
+    picks, gains = se.exact_greedy(fold, 200)
+    unit = matrix / np.linalg.norm(matrix, axis=1, keepdims=True)
+    values = np.rint((unit @ unit.T + 1) / 2 * 10**7).astype(np.int64)
+    cover, left = np.zeros(800, np.int64), np.ones(800, bool)
+    for pick, gain in zip(picks, gains):
+        fresh = np.where(left, np.maximum(values - cover, 0).sum(axis=1), -1)
+        assert (pick, gain) == (int(np.argmax(fresh)), fresh.max() / 10**7)
+        cover, left[pick] = np.maximum(cover, values[pick]), False
+    # Steps used to look at some twenty rows each, against the whole fold.
+    assert len(asked) <= 200
+    assert (fold.cover == cover).all() and fold._sparse
