@@ -1,6 +1,7 @@
 """Work that is done in blocks gives what one piece would: folds, query rounds, cells, packed chunks."""
 
 import math
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from paperloom import constants as C
 from paperloom.operators import chunking, search
+from paperloom.operators import embedding as emb
 from paperloom.operators import selection as se
 from paperloom.operators import similarity as si
 from paperloom.session import materialized
@@ -234,3 +236,28 @@ def test_exact_greedy_compares_few_rows_with_all(monkeypatch):
     # Steps used to look at some twenty rows each, against the whole fold.
     assert len(asked) <= 200
     assert (fold.cover == cover).all() and fold._sparse
+
+
+def test_sampled_sizes_of_a_fold_are_tasks_of_their_own(spark):
+    df = vectors_of(spark, points(40))
+    sampled = se.facility_location(df, [0.1, 0.5], num_folds=2, epsilon=0.1)
+    assert sampled.groupBy("size_no", "fold").count().count() == 4
+    grouped = [x for x in sampled._jdf.queryExecution().analyzed().toString().splitlines() if "FlatMapGroupsInArrow" in x]
+    assert grouped and all("_size#" in x for x in grouped)
+
+
+def test_sums_of_a_batch_take_memory_by_slice(monkeypatch):
+    rng = np.random.default_rng(4)
+    lists = [rng.integers(0, 512, n).astype(np.int16) for n in (0, 3_000, 5, 700, 0, 2_000) for _ in range(40)]
+    codes = pa.array([x.tolist() for x in lists], pa.list_(pa.int16()))
+    plain = np.array([np.bincount(x // 2, weights=1 - 2.0 * (x % 2), minlength=256) for x in lists])
+    plain /= np.maximum(np.linalg.norm(plain, axis=1, keepdims=True), C.NORM_FLOOR)
+    monkeypatch.setattr(emb, "_SLICE_WORDS", 4_000)
+    tracemalloc.start()
+    found = emb.signed_sums(codes, 256)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert np.allclose(found, plain, atol=1e-6)
+    assert np.allclose(emb.signed_sums(codes.slice(41, 60), 256), plain[41:101], atol=1e-6)
+    # The words took 8 bytes each, and several arrays of 8 bytes a word beside that.
+    assert peak < 8 * sum(map(len, lists))
