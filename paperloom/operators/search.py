@@ -22,7 +22,8 @@ from paperloom.operators.ordering import top_per_key
 from paperloom.session import materialized
 
 SCORE_DIGITS = 6
-_BLOCK_CELLS = 4_000_000
+# Scores, and components of vectors, that are worked on at a time.
+_BLOCK_CELLS = 1_000_000
 
 
 def _keys(column: pa.Array) -> np.ndarray:
@@ -126,7 +127,7 @@ def _scan(shared: Broadcast, k: int, schema: T.StructType, batches: Iterator[pa.
 def _best_rows(batches: Iterable[pa.RecordBatch], names: list, asked: np.ndarray, k: int, schema: T.StructType) -> pa.Table:
     """The best ``k`` of the rows (key, vector) for every query, in blocked products."""
     best = _Best(len(names), k)
-    step = max(1, _BLOCK_CELLS // len(names))
+    step = max(1, _BLOCK_CELLS // max(len(names), asked.shape[1]))
     for batch in batches:
         for start in range(0, batch.num_rows, step):
             part = batch.slice(start, step)
