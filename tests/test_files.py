@@ -215,3 +215,36 @@ def test_repeated_names_are_dealt_whole(spark):
     assert sorted((r.pos, r.split_id) for r in rows) == [(p // 4, p % 4) for p in range(52)]
     ordered = sorted(rows, key=lambda r: (r.pos, r.split_id))
     assert [r.name for r in ordered] == ["a"] + ["hot"] * 50 + ["z"]
+
+
+@pytest.mark.parametrize("style", ["before", "after", "opening", "pretty", "one line"])
+def test_json_arrays_are_split_where_lines_hold_records(spark, tmp_path, style):
+    records = [{"id": i, "text": text} for i, text in enumerate(['a, "b"}', "[\\", "\u2028 ]", None, "{,", "\n,\n"] * 40)]
+    lines = [json.dumps(r) for r in records]
+    lines = [", ".join(lines[i : i + 2]) for i in range(0, len(lines), 2)]
+    text = {
+        "before": "\ufeff[" + "\n , ".join(lines) + "]\n",
+        "after": "[" + ",\r\n\r\n".join(lines) + " ]",
+        "opening": "\n[\n" + ",\n".join(lines) + "\n]\n",
+        "pretty": json.dumps(records, indent=1),
+        "one line": json.dumps(records),
+    }[style]
+    (tmp_path / "x.json").write_text(text, encoding="utf-8")
+    path, schema = f"{tmp_path}/x.json", "id long, text string"
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        found = datasets.read_dataset(spark, path, schema)
+        tasks = found.rdd.getNumPartitions()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert sorted((r.id, r.text) for r in found.collect()) == [(r["id"], r["text"]) for r in records]
+    assert (tasks > 1) == (style in ("before", "after", "opening"))
+
+
+@pytest.mark.parametrize("text", ['[{"id": 1}\n{"id": 2}]', '[{"id": 1},\n{"id": 2]', '[{"id": 1},\n{"id": x}]', '[{"id": 1},\n,{"id": 2}]'])
+def test_broken_arrays_are_errors(spark, tmp_path, text):
+    (tmp_path / "x.json").write_text(text)
+    with pytest.raises(Exception):
+        datasets.read_dataset(spark, f"{tmp_path}/x.json", "id long").collect()
