@@ -477,6 +477,29 @@ def test_lines_linked_through_others_and_in_crowds(spark, monkeypatch):
     assert removed(rows, spark) == wanted
 
 
+def test_lines_of_small_blocks_skip_the_star_rounds(spark, monkeypatch):
+    # Nine variants of each line, one word of which is another, and a line that stands alone.
+    rows = [(10 * n + i, " ".join(f"l{n}w{j}" if j != i else f"x{n}y{i}" for j in range(10))) for n in range(3) for i in range(9)]
+    rows.append((1000, "nothing here is like any other of these lines"))
+    wanted, met, keep = brute_lines(rows), [], line_dedup.materialized
+
+    def counted(df, label="table", *more):
+        kept = keep(df, label, *more)
+        if label == "met":
+            met.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(line_dedup, "materialized", counted)
+    assert removed(rows, spark) == wanted
+    assert met == [0] * line_dedup.STAR_ROUNDS
+    # Large blocks whose lines take several parts, beside small ones.
+    for name, value in (("FEW_LINES", 4), ("PART_LINES", 3), ("STAR_ROUNDS", 1), ("SLICES", 2)):
+        monkeypatch.setattr(line_dedup, name, value)
+    met.clear()
+    assert removed(rows, spark) == wanted
+    assert met[0] > 0
+
+
 def test_words_with_equal_codes_differ(spark):
     words = spark.range(4000).select(F.concat(F.lit("v"), "id").alias("word"))
     codes = words.select("word", line_dedup.word_codes(F.array("word")).alias("code"))
