@@ -525,6 +525,25 @@ def test_sketches_of_long_lines_lose_no_pair_and_sift_others(spark):
     assert {r["n"] for r in found if r["maybe"] and not r["near"]} <= {127, 20000}
 
 
+def test_sketches_rule_out_unlike_lines_of_any_length(spark):
+    rng = np.random.default_rng(12)
+    # At most two bits an edit: 128 bits told lines of 110 to 127 words, and as many bits as words those of 250, hardly apart.
+    rows = [(n, [f"w{i}" for i in rng.integers(0, 100_000, n)], [f"w{i}" for i in rng.integers(0, 100_000, n)]) for n in (20, 63, 64, 110, 120, 127, 250, 500) for _ in range(8)]
+    sketches = spark.createDataFrame(rows, "n int, x array<string>, y array<string>").select("n", *(line_dedup._sketch(F.col(c)).alias(c) for c in "xy"))
+    assert sketches.where(line_dedup._maybe_alike(F.col("x"), F.col("y"))).select("n").collect() == []
+
+
+def test_pairs_of_blocks_are_sifted_in_a_join(spark):
+    # Twenty lines of one block in parts of six: no row holds other lines, and every pair is met once.
+    marked = spark.createDataFrame([(i, None if i % 5 else i % 10, 10, i % 2, 0, None) for i in range(20)], "line_key long, component long, n int, low long, high long, wide array<long>")
+    alike = {(a, b) for a in range(20) for b in range(a) if a % 5 or b % 5 or a % 10 != b % 10}
+    for lines in (20, 6 * line_dedup.PART_LINES):
+        rows = spark.createDataFrame([(7, i, lines) for i in range(20)], "block long, line_key long, rows long")
+        met = line_dedup._near(rows, marked)
+        assert {tuple(r) for r in met.collect()} == alike and met.count() == len(alike)
+        assert "collect_list" not in met._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_words_with_equal_hash_codes_differ(spark):
     words = spark.range(4000).select(F.concat(F.lit("v"), "id").alias("word"))
     codes = words.select("word", line_dedup._hash_codes(F.array("word")).alias("code"))
