@@ -525,10 +525,21 @@ def test_sketches_of_long_lines_lose_no_pair_and_sift_others(spark):
     assert {r["n"] for r in found if r["maybe"] and not r["near"]} <= {127, 20000}
 
 
+def test_sketches_of_repeated_words_lose_no_pair(spark):
+    rows = []
+    for n in (10, 60, 64, 70, 128, 300, 1000):
+        often = [f"w{i % 9}" for i in range(n)]
+        rows += [(often, often[n // 5 :]), (often, often[: n // 2] + [f"z{i % 3}" for i in range(n // 5)] + often[n // 2 + n // 5 :]), (often, often + ["w1"] * (n // 4))]
+    sketches = spark.createDataFrame(rows, "x array<string>, y array<string>").select(*(line_dedup._sketch(F.col(c)).alias(c) for c in "xy"))
+    assert sketches.where(~line_dedup._maybe_alike(F.col("x"), F.col("y"))).count() == 0
+
+
 def test_sketches_rule_out_unlike_lines_of_any_length(spark):
     rng = np.random.default_rng(12)
     # At most two bits an edit: 128 bits told lines of 110 to 127 words, and as many bits as words those of 250, hardly apart.
     rows = [(n, [f"w{i}" for i in rng.integers(0, 100_000, n)], [f"w{i}" for i in rng.integers(0, 100_000, n)]) for n in (20, 63, 64, 110, 120, 127, 250, 500) for _ in range(8)]
+    # Words repeated an even number of times were no bits at all.
+    rows += [(n, [f"a{i // 16}" for i in range(n)], [f"b{i // 16}" for i in range(n)]) for n in (32, 64, 160, 480)]
     sketches = spark.createDataFrame(rows, "n int, x array<string>, y array<string>").select("n", *(line_dedup._sketch(F.col(c)).alias(c) for c in "xy"))
     assert sketches.where(line_dedup._maybe_alike(F.col("x"), F.col("y"))).select("n").collect() == []
 
